@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.rand import pick
 from wordloom.functions.text import LEFT_PAD, pad, windows, wordpunct_tokens
 from wordloom.operators.ids import running_total
+from wordloom.operators.lookups import BROADCAST_BYTES, fits_broadcast
 
 ORDER = 3  # fixed value: trigrams
 _BLOCK = 4096
@@ -20,52 +21,73 @@ _BLOCK = 4096
 def everygrams(df: DataFrame, text: str = "text", key: str = "id", order: int = ORDER, pad_times: int = 1) -> DataFrame:
     """All 1..``order``-grams of the padded texts: ``(key, n, pos, gram)``."""
     padded = df.select(key, pad(wordpunct_tokens(F.col(text)), order, pad_times).alias("_t"))
-    parts = [
-        padded.select(key, F.lit(m).alias("n"), F.posexplode(windows(F.col("_t"), m)).alias("pos", "_w")).select(
-            key, "n", "pos", F.concat_ws(" ", *[F.col("_w")[f"t{i}"] for i in range(m)]).alias("gram")
+    # One struct per start position; at the end of the text the words of longer grams are NULL.
+    ahead = F.arrays_zip(*[F.slice("_t", i + 1, F.size("_t")).alias(f"t{i}") for i in range(order)])
+    starts = padded.select(key, F.posexplode(ahead).alias("pos", "_w"))
+    grams = [
+        F.struct(
+            F.lit(m).alias("n"),
+            F.when(
+                F.col("_w")[f"t{m - 1}"].isNotNull(),
+                F.concat_ws(" ", *[F.col("_w")[f"t{i}"] for i in range(m)]),
+            ).alias("gram"),
         )
         for m in range(1, order + 1)
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return starts.select(key, "pos", F.inline(F.array(*grams))).filter(F.col("gram").isNotNull()).select(
+        key, "n", "pos", "gram"
+    )
 
 
 def fit(df: DataFrame, text: str = "text", order: int = ORDER, pad_times: int = 1) -> DataFrame:
     """Count all orders of the padded texts.
 
     Only the highest order is counted from the texts, with map-side partial counts. A lower order
-    is the sum of the next higher one over its first word, plus the first n-gram of each text,
-    which is all left padding; so the raw tokens are exploded and shuffled once, not once per
-    order.
+    is the sum of the next higher one over its first word, so the raw tokens are exploded and
+    shuffled once, not once per order. Empty words in front of each text carry its first, shorter
+    n-grams through the sums; n-grams that start with one are not part of the model.
     """
-    texts = df.filter(F.col(text).isNotNull())
-    padded = texts.select(pad(wordpunct_tokens(F.col(text)), order, pad_times).alias("_t"))
-    grams = padded.select(F.inline(windows(F.col("_t"), order)))
+    tokens = pad(wordpunct_tokens(F.col(text)), order, pad_times)
+    tokens = F.concat(F.array_repeat(F.lit(""), order - 1), tokens)
+    texts = df.filter(F.col(text).isNotNull()).select(tokens.alias("_t"))
+    grams = texts.select(F.inline(windows(F.col("_t"), order)))
     level = grams.groupBy(
         F.concat_ws(" ", *[F.col(f"t{i}") for i in range(order - 1)]).alias("context"),
         F.col(f"t{order - 1}").alias("word"),
-    ).agg(F.count("*").alias("c"))
-    levels = [level.select(F.lit(order).alias("n"), "*")]
-    for m in range(order - 1, 0, -1):
-        first = texts.groupBy().agg(F.count("*").alias("c")).select(
-            F.lit(" ".join([LEFT_PAD] * (m - 1))).alias("context"), F.lit(LEFT_PAD).alias("word"), "c"
-        )
-        shorter = F.substring_index("context", " ", -(m - 1)) if m > 1 else F.lit("")
-        level = (
-            level.select(shorter.alias("context"), "word", "c")
-            .unionByName(first)
-            .groupBy("context", "word")
-            .agg(F.sum("c").alias("c"))
-        )
-        levels.append(level.select(F.lit(m).alias("n"), "*"))
+    ).agg(F.count("*").alias("_all"), F.count_if(F.col("t0") != "").alias("c"))
+    levels = []
+    for m in range(order, 0, -1):
+        if m < order:
+            shorter = F.substring_index("context", " ", -(m - 1)) if m > 1 else F.lit("")
+            whole = F.lit(True) if m == 1 else ~F.substring("context", 1, 1).isin("", " ")
+            level = (
+                level.select(shorter.alias("context"), "word", "_all")
+                .groupBy("context", "word")
+                .agg(F.sum("_all").alias("_all"), F.sum(F.when(whole, F.col("_all")).otherwise(F.lit(0))).alias("c"))
+            )
+        # A filter on the count, not on the context, leaves the shuffle shared by all orders.
+        levels.append(level.select(F.lit(m).alias("n"), "context", "word", "c").filter(F.col("c") > 0))
     out = levels[0]
     for part in levels[1:]:
         out = out.unionByName(part)
     return out
 
 
+def only_asked(
+    counts: DataFrame, df: DataFrame, context: str = "context", order: int = ORDER, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The part of a model that back-off can reach from the contexts of ``df``.
+
+    The distinct contexts are broadcast if their measured size is below ``limit``; beyond it the
+    whole model is kept, which gives the same answers.
+    """
+    reach = [F.substring_index(context, " ", -(m - 1)) for m in range(1, order + 1)]
+    asked = df.select(F.explode(F.array(*reach)).alias("context")).distinct()
+    if not fits_broadcast(asked, ["context"], limit):
+        return counts
+    return counts.join(F.broadcast(asked), "context", "left_semi").select(*counts.columns)
+
+
 def totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("n", "context").agg(F.sum("c").alias("total"))
 

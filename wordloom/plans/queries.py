@@ -339,9 +339,10 @@ def next_word_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _held_out(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Counts of the training texts and one example per held-out text."""
+    """One example per held-out text, and the counts of the training texts that they reach."""
     train, test = inputs.train_test(spark, sf)
-    return inputs.model(train), examples.random_examples(test, tokens=tx.wordpunct_tokens)
+    asked = durable(examples.random_examples(test, tokens=tx.wordpunct_tokens), "examples")
+    return ngram.only_asked(inputs.model(train), asked), asked
 
 
 @query
