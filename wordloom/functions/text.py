@@ -78,7 +78,7 @@ def join_tokens(tokens: Column, start: Column | int, length: int | Column) -> Co
 def snippet(text: Column, tokens: Column, key: Column, n: int = CONTEXT_TOKENS, salt: str = "snippet") -> Column:
     """A random run of ``n`` tokens, the last run excluded; a text of at most ``n`` tokens as it is."""
     start = pick(salt, key, F.size(tokens) - n)
-    return F.when(F.size(tokens) <= n, text).otherwise(join_tokens(tokens, start, n))
+    return F.when(F.size(tokens) <= n, text).when(tokens.isNotNull(), join_tokens(tokens, start, n))
 
 
 def snippet_inclusive(tokens: Column, key: Column, n: int = CONTEXT_TOKENS, salt: str = "snippet-inclusive") -> Column:

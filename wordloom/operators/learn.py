@@ -6,14 +6,18 @@ learners have none, so here the mean is taken of the word vectors themselves.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from wordloom.functions.text import CONTEXT_TOKENS
 from wordloom.operators.corpus import known_targets
 from wordloom.operators.generate import TOP_K, Proposer, generate_topk
 from wordloom.operators.vectors import context_vectors
@@ -137,6 +141,27 @@ def score_loss(scored: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
+def score_plugin(
+    df: DataFrame,
+    make_predict_fn: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    n: int = CONTEXT_TOKENS,
+    batch_size: int = 1024,
+    out: str = "probabilities",
+) -> DataFrame:
+    """Score ``context_ids`` with an external model, loaded once per worker.
+
+    ``make_predict_fn`` returns a function from a (rows, n) array of indexes to a (rows, classes)
+    array of probabilities, one class for each index from 2 on.
+    """
+    predict = predict_batch_udf(
+        make_predict_fn,
+        return_type=T.ArrayType(T.FloatType()),
+        batch_size=batch_size,
+        input_tensor_shapes=[[n]],
+    )
+    return df.withColumn(out, predict(F.col("context_ids")))
+
+
 def proposer(model: NextWordModel, vocab: DataFrame, n: int, id: str = "request_id", k: int = TOP_K) -> Proposer:
     """Candidates by the classifier's probability; ``k + n + 1`` are enough for ``k`` allowed ones."""
 
@@ -146,7 +171,7 @@ def proposer(model: NextWordModel, vocab: DataFrame, n: int, id: str = "request_
         )
         return F.transform(F.slice(order, 1, k + n + 1), lambda x: x["idx"])
 
-    def propose(state: DataFrame, active: Column) -> DataFrame:
+    def propose(state: DataFrame) -> DataFrame:
         encoded = encode(state, F.concat_ws(" ", "_context"), vocab, [id])
         scored = model.score(encoded, [id])
         return scored.withColumn("_candidates", ranked(F.col("probabilities"))).drop("probabilities", "context_ids")

@@ -69,6 +69,7 @@ def encoded(cap: int) -> str:
 
 ENCODED_15K = encoded(15_000)
 ENCODED_20K = encoded(20_000)
+ENCODED_1K = encoded(1_000)
 
 
 def grams(where: str) -> str:
@@ -376,6 +377,12 @@ ORACLES: dict[str, str] = {
     "generate_plugin": rf"""
         SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, 3) END AS generated_text
         FROM (SELECT request_id, text, regexp_extract_all(text, '[^\s]+')[-1] AS w FROM {USER_TURNS})""",
+    # The last known word of the context; without one, all words are equal and the first one wins.
+    "score_plugin": f"""
+        WITH {ENCODED_1K},
+        chosen AS (SELECT doc_id, coalesce(arg_max(idx, pos) FILTER (WHERE idx > 1), 2)::INTEGER AS idx
+                   FROM ids GROUP BY doc_id)
+        SELECT idx, doc_id AS id, token AS predicted FROM chosen JOIN vocab USING (idx)""",
     "route_requests": f"""
         SELECT request_id, 20 AS n,
                ['baseline', 'inhouse', 'glove', 'gpt2'][1 + {h("'model'", 'request_id')} % 4] AS model_used

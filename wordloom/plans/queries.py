@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -466,9 +467,10 @@ def _learned(spark: SparkSession, sf: str, with_vectors: bool = False) -> tuple[
     """Model, vocabulary, and encoded held-out examples."""
     train, test = inputs.train_test(spark, sf)
     words = durable(vocab.vocabulary(train, max_tokens=LEARN_TOKENS), "vocabulary")
-    drawn = examples.random_examples(train, tokens=tx.standard_tokens, passes=LEARN_EPOCHS)
+    tokens = examples.tokenizer()
+    drawn = examples.random_examples(train, tokens=tokens, passes=LEARN_EPOCHS)
     fitted = durable(examples.encoded_examples(drawn, words, ["id", "pass"]), "examples")
-    held_out = examples.random_examples(test, tokens=tx.standard_tokens)
+    held_out = examples.random_examples(test, tokens=tokens)
     matrix = durable(_matrix(spark, sf, words), "matrix") if with_vectors else None
     dim = inputs.VECTOR_DIM if with_vectors else learn.LATENT_DIM
     model = learn.train(
@@ -500,6 +502,26 @@ def score_contexts(spark: SparkSession, sf: str) -> DataFrame:
     return _network_predictions(*_learned(spark, sf))
 
 
+def _copying_model() -> Callable[[np.ndarray], np.ndarray]:
+    """Stands for an external network: prefers the words of the context, the last one most."""
+
+    def predict(ids: np.ndarray) -> np.ndarray:
+        scores = np.full((len(ids), LEARN_TOKENS - vocab.FIRST_IDX), 1.0, dtype="float32")
+        rows, places = np.nonzero(ids >= vocab.FIRST_IDX)
+        scores[rows, ids[rows, places].astype(int) - vocab.FIRST_IDX] = 2.0 + places
+        return scores / scores.sum(axis=1, keepdims=True)
+
+    return predict
+
+
+@query
+def score_plugin(spark: SparkSession, sf: str) -> DataFrame:
+    words = inputs.vocabulary(spark, sf, LEARN_TOKENS)
+    scored = learn.score_plugin(_encoded(spark, sf, words), _copying_model)
+    best = F.array_position("probabilities", F.array_max("probabilities")) + (vocab.FIRST_IDX - 1)
+    return vocab.decode(scored.select("id", best.cast("int").alias("idx")), words, out="predicted")
+
+
 @query
 def training_curve(spark: SparkSession, sf: str) -> DataFrame:
     return _learned(spark, sf)[0].losses()

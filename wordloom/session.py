@@ -31,13 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may go without the setting: it then gets a fresh temporary folder.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="wordloom-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-    return f"{base.rstrip('/')}/wordloom-{spark.sparkContext.applicationId}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/wordloom-{context.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
