@@ -9,17 +9,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(table: DataFrame, columns: list[str], limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the columns of ``table``, measured and not guessed, stay below ``limit`` bytes."""
-    width = F.lit(0).cast("bigint")
-    for name in columns:
-        kind = table.schema[name].dataType.typeName()
-        if kind == "string":
-            size = F.octet_length(name) + 32
-        elif kind == "array":
-            size = F.size(name) * 8 + 32
-        else:
-            size = F.lit(16)
-        width = width + F.coalesce(size, F.lit(32))
+    """Whether the columns of ``table``, measured as text and not guessed, stay below ``limit`` bytes."""
+    width = F.octet_length(F.to_json(F.struct(*columns)))
     return (table.agg(F.sum(width)).first()[0] or 0) <= limit
 
 

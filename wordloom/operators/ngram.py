@@ -13,6 +13,7 @@ from wordloom.functions.rand import pick
 from wordloom.functions.text import LEFT_PAD, pad, windows, wordpunct_tokens
 from wordloom.operators.ids import running_total
 from wordloom.operators.lookups import BROADCAST_BYTES, fits_broadcast
+from wordloom.session import durable
 
 ORDER = 3  # fixed value: trigrams
 _BLOCK = 4096
@@ -76,16 +77,16 @@ def fit(df: DataFrame, text: str = "text", order: int = ORDER, pad_times: int =
 def only_asked(
     counts: DataFrame, df: DataFrame, context: str = "context", order: int = ORDER, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """The part of a model that back-off can reach from the contexts of ``df``.
+    """The part of a model that back-off can reach from the contexts of ``df``, written apart.
 
     The distinct contexts are broadcast if their measured size is below ``limit``; beyond it the
-    whole model is kept, which gives the same answers.
+    whole model is kept, which gives the same answers. ``counts`` is any table with a ``context``.
     """
     reach = [F.substring_index(context, " ", -(m - 1)) for m in range(1, order + 1)]
     asked = df.select(F.explode(F.array(*reach)).alias("context")).distinct()
     if not fits_broadcast(asked, ["context"], limit):
         return counts
-    return counts.join(F.broadcast(asked), "context", "left_semi").select(*counts.columns)
+    return durable(counts.join(F.broadcast(asked), "context", "left_semi").select(*counts.columns), "reached")
 
 
 def totals(counts: DataFrame) -> DataFrame:
@@ -233,10 +234,17 @@ def draw(
     context: str = "context",
     order: int = ORDER,
     out: str = "word",
+    context_totals: DataFrame | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add ``out``: a word drawn by weight from the longest known context; NULL context, NULL word."""
+    """Add ``out``: a word drawn by weight from the longest known context; NULL context, NULL word.
+
+    Asking rows of a checked small size are broadcast to the slots, so a large model is scanned
+    and not shuffled; otherwise both sides are shuffled on context and slot.
+    """
     columns = df.columns
-    found = backoff(df, draw_totals(table), ["total", "width"], context, order, used="_order")
+    context_totals = draw_totals(table) if context_totals is None else context_totals
+    found = backoff(df, context_totals, ["total", "width"], context, order, used="_order")
     asked = found.select(
         *columns,
         "_order",
@@ -244,6 +252,7 @@ def draw(
         pick(salt, key, F.col("total")).alias("_point"),
         "width",
     ).withColumn("_cell", F.expr("_point div width"))
+    asked = durable(asked, "asked")
     side = table.select(*[F.col(c).alias(f"_t_{c}") for c in ("n", "context", "slot", "lo", "hi", "word")])
     hit = (
         (F.col("_order") == F.col("_t_n"))
@@ -252,7 +261,14 @@ def draw(
         & (F.col("_point") >= F.col("_t_lo"))
         & (F.col("_point") < F.col("_t_hi"))
     )
-    return asked.join(side, hit, "left").select(*columns, F.col("_t_word").alias(out))
+    if not fits_broadcast(asked, asked.columns, limit):
+        return asked.join(side, hit, "left").select(*columns, F.col("_t_word").alias(out))
+    # Every row with a known context hits exactly one word, so the others can be added apart.
+    known = side.join(F.broadcast(asked.filter(F.col("_order").isNotNull())), hit)
+    unknown = asked.filter(F.col("_order").isNull())
+    return known.select(*columns, F.col("_t_word").alias(out)).unionByName(
+        unknown.select(*columns, F.lit(None).cast("string").alias(out))
+    )
 
 
 def log_loss(held_out: DataFrame, model: DataFrame, known: DataFrame | None = None) -> DataFrame:
