@@ -55,19 +55,22 @@ def fit(df: DataFrame, text: str = "text", order: int = ORDER, pad_times: int =
     level = grams.groupBy(
         F.concat_ws(" ", *[F.col(f"t{i}") for i in range(order - 1)]).alias("context"),
         F.col(f"t{order - 1}").alias("word"),
-    ).agg(F.count("*").alias("_all"), F.count_if(F.col("t0") != "").alias("c"))
+    ).agg(F.count("*").alias("c"))
     levels = []
     for m in range(order, 0, -1):
         if m < order:
             shorter = F.substring_index("context", " ", -(m - 1)) if m > 1 else F.lit("")
-            whole = F.lit(True) if m == 1 else ~F.substring("context", 1, 1).isin("", " ")
             level = (
-                level.select(shorter.alias("context"), "word", "_all")
+                level.select(shorter.alias("context"), "word", "c")
                 .groupBy("context", "word")
-                .agg(F.sum("_all").alias("_all"), F.sum(F.when(whole, F.col("_all")).otherwise(F.lit(0))).alias("c"))
+                .agg(F.sum("c").alias("c"))
             )
-        # A filter on the count, not on the context, leaves the shuffle shared by all orders.
-        levels.append(level.select(F.lit(m).alias("n"), "context", "word", "c").filter(F.col("c") > 0))
+        part = level.select(F.lit(m).alias("n"), "context", "word", "c")
+        if m > 1:
+            # The filter reads the count too, so it stays above the shuffle that all orders share.
+            starts_empty = F.substring("context", 1, 1).isin("", " ")
+            part = part.filter(F.when(starts_empty, F.lit(0)).otherwise(F.col("c")) > 0)
+        levels.append(part)
     out = levels[0]
     for part in levels[1:]:
         out = out.unionByName(part)
