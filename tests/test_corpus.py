@@ -94,7 +94,16 @@ def test_short_texts(spark):
     assert {r["id"]: r["n_tokens"] for r in corpus.short_texts(df, n=3).collect()} == {1: 2, 2: 3, 4: 0}
 
 
-def test_running_total_matches_brute_force(spark):
+@pytest.fixture(params=["true", "false"])
+def coalescing(spark, request):
+    """With small partitions joined, and with every range partition kept."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.unset(name)
+
+
+def test_running_total_matches_brute_force(spark, coalescing):
     # Group 0 holds most rows, so it spans several partitions.
     rows = [(0 if i % 4 else i % 3, (i * 37) % 1009, i % 5 + 1) for i in range(1009)]
     df = spark.createDataFrame(rows, "g int, k int, v bigint")
@@ -107,7 +116,7 @@ def test_running_total_matches_brute_force(spark):
 
 
 @pytest.mark.parametrize("size", [1, 64, 100, 1000])
-def test_dense_ids_and_batches(spark, size):
+def test_dense_ids_and_batches(spark, coalescing, size):
     df = spark.range(0, 1000, 3).withColumnRenamed("id", "key").repartition(5)
     got = ids.batches(ids.dense_id(df, ["key"]), size).orderBy("key").collect()
     assert [r["id"] for r in got] == list(range(334))

@@ -28,8 +28,8 @@ def running_total(
     any size is thus spread over as many tasks as its rows need.
     """
     groups = groups or []
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *groups, *order).withColumn(_PART, F.spark_partition_id())
+    # Without a number of partitions, adaptive execution may join neighbouring small ones.
+    ranged = df.repartitionByRange(*groups, *order).withColumn(_PART, F.spark_partition_id())
     frozen = durable(ranged, "ranged")
     within = Window.partitionBy(_PART, *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*groups)

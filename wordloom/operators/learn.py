@@ -41,7 +41,7 @@ def train_vectors(examples: DataFrame, dim: int = LATENT_DIM, window: int = 5, i
         minCount=1,
         windowSize=window,
         maxIter=iterations,
-        numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions")),
+        numPartitions=spark.sparkContext.defaultParallelism,
         seed=seed,
         inputCol="words",
         outputCol="vector",
