@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from wordloom.llm.words import slices
 
@@ -235,9 +236,8 @@ def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Record
     )
 
 
-def schema_with(df: DataFrame, out: str, kind: str) -> str:
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name != out]
-    return ", ".join([*fields, f"`{out}` {kind}"])
+def schema_with(df: DataFrame, out: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*(f for f in df.schema if f.name != out), T.StructField(out, kind)])
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", cache_words: int = CACHE_WORDS) -> DataFrame:
@@ -255,7 +255,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", cache
                 texts = [t or "" for t in part.column(text).to_pylist()]
                 yield with_column(part, out, id_lists(bpe.encode(texts)))
 
-    return df.mapInArrow(run, schema_with(df, out, "array<int>"))
+    return df.mapInArrow(run, schema_with(df, out, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -272,4 +272,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
                 texts = [bpe.decode(row.as_py() or []) for row in part.column(ids)]
                 yield with_column(part, out, pa.array(texts, type=pa.string()))
 
-    return df.mapInArrow(run, schema_with(df, out, "string"))
+    return df.mapInArrow(run, schema_with(df, out, T.StringType()))

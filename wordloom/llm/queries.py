@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, packing
+from wordloom.llm import bpe, packing, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +40,15 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op2_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages of 35 words or more that stand in several places, removed."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return substrings.dedup_substrings(docs, single_space=True).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All texts packed into sequences of 2,048 tokens."""
