@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, packing, substrings
+from wordloom.llm import bpe, packing, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,9 @@ def op2_substrings(spark: SparkSession, sf: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All texts packed into sequences of 2,048 tokens."""
     return packing.pack(_table(spark, sf, "documents"), WORD_TOKENIZER, with_ids=False)
+
+
+@query
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of all texts and the groups of those within two bits."""
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
