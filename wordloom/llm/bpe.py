@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from wordloom.llm.words import slices
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 _DECODED_ROWS = 256
 _TREE_CELLS = 1 << 21  # bounds the memory of trees that advance together
 # The published byte-level pattern; its \s is Unicode white space.

@@ -13,13 +13,14 @@ import bisect
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
-from wordloom.llm.bpe import CACHE_WORDS, Bpe, held, id_lists
+from wordloom.llm.bpe import Bpe, held, id_lists
 from wordloom.llm.words import slices
 from wordloom.session import durable
 
@@ -28,10 +29,15 @@ OPEN_WINDOWS = 32
 SMALL_GAP = 16
 MERGED_PARTITIONS = 256
 END_ID = 1
+CACHE_WORDS = 600_000
 # The published pattern of the lower-case tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
+_PLAIN = bytes([*range(0x21, 0x7F), 0xC3, *range(0x80, 0xC0)])
+_MARK = np.int32(-1).tobytes()
+
+
 class WordIds:
     """Ids of a tokenizer that drops white space and lower-cases, word by word.
 
@@ -47,28 +53,35 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pattern = regex.compile(WORD_PATTERN)
-        self.plain = regex.compile(rb"(?:[!-~]|\xC3[\x80-\xBF])+")
+        self.pattern = regex.compile(WORD_PATTERN + r"|\n")
+        self.bpe.cache_words = cache_words
         self.cache_words, self.cache = cache_words, {}
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if self.plain.fullmatch(w) and b"<|" not in w]
-        cut = [self.pattern.findall(w.decode().lower()) for w in plain]
+        plain = [w for w in words if not w.translate(None, _PLAIN) and b"<|" not in w]
         self.bpe.room()
-        fresh = set().union(*cut).difference(self.bpe.cache) if cut else set()
+        # All words at once, each ended by a line feed, whose "ids" are a mark that no id equals.
+        pieces = self.pattern.findall(b"\n".join([*plain, b""]).decode().lower())
+        fresh = set(pieces).difference(self.bpe.cache, "\n")
         if fresh:
             self.bpe.learn(list(fresh))
-        for word, pieces in zip(plain, cut):
-            self.cache[word] = b"".join(map(self.bpe.cache.__getitem__, pieces))
+        self.bpe.cache["\n"] = _MARK
+        encoded = b"".join(map(self.bpe.cache.__getitem__, pieces))
+        begin = 0
+        for word, end in zip(plain, (4 * np.flatnonzero(np.frombuffer(encoded, "<i4") == -1)).tolist()):
+            self.cache[word] = encoded[begin:end]
+            begin = end + 4
         rest = list(set(words).difference(plain))
-        encoded = self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)
-        for word, found in zip(rest, encoded):
-            self.cache[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
+        found = self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)
+        for word, one in zip(rest, found):
+            self.cache[word] = b"".join(i.to_bytes(4, "little") for i in one.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.cache_words:
             self.cache = {}
-        cut = [t.encode().split() for t in texts]
+        # Lower-casing A-Z early changes nothing but the number of words, unless it made a special token.
+        raw = [t.encode() for t in texts]
+        cut = [(r if b"<|" in r else r.lower()).split() for r in raw]
         fresh = set().union(*cut).difference(self.cache) if cut else set()
         if fresh:
             self._learn(list(fresh))
