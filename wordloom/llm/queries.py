@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, packing, simhash, substrings
+from wordloom.llm import bpe, packing, quality, secrets, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,23 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of all texts and the groups of those within two bits."""
     return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
+@query
+def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of all texts, with the weak parts that stand beside others."""
+    return secrets.report(secrets.find_secrets(_table(spark, sf, "documents").select("doc_id", "text")))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf: str) -> list[quality.Rule]:
+    """Rules learned from a bounded sample of the labelled documents."""
+    return quality.learn_rules(quality.labelled(docs, _table(spark, sf, "labels")))
+
+
+@query
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return quality.judge(docs, quality_rules(spark, docs, sf)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
