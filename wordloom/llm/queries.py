@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, packing, quality, secrets, simhash, substrings
+from wordloom.llm import ann, bpe, licenses, packing, quality, secrets, simhash, substrings, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,30 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(docs, quality_rules(spark, docs, sf)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    read = warc.round_trip(_table(spark, sf, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every line of every text, from one encoding of each text."""
+    return token_counts.section_tokens(_table(spark, sf, "documents"), BYTE_TOKENIZER)
+
+
+@query
+def op9_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """License statements of all texts."""
+    return licenses.scan_licenses(_table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@query
+def op10_ann(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest of every vector whose id is divisible by 50."""
+    return ann.nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
