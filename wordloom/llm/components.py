@@ -35,5 +35,6 @@ def components(edges: DataFrame) -> DataFrame:
         state = durable(moved.filter("a <> b").unionByName(kept).distinct(), "links")
         now = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
-            return state.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            roots = state.select("b", "b").distinct().toDF("node", "root")
+            return state.toDF("node", "root").unionByName(roots)
         seen = now

@@ -25,6 +25,7 @@ MIN_COVERED = 8
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 _GRAM = 5
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 FEATURES = ("n_words", "word_length", "symbol_share", "upper_share", "mark_share", "dup_line_share", "repeat_share")
 
 
@@ -83,16 +84,20 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     def share(part: str, of: str) -> Column:
         return F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(of)), F.lit(0.0))
 
-    return fifth.withColumns(
-        {
-            "word_length": share("word_chars", "n_words"),
-            "symbol_share": share("n_symbols", "word_chars"),
-            "upper_share": share("_upper", "word_chars"),
-            "mark_share": share("_marks", "n_words"),
-            "dup_line_share": share("n_dup_lines", "n_lines"),
-            "repeat_share": share("n_repeat_words", "n_words"),
-        }
-    ).drop("_upper", "_marks")
+    shares = {
+        "word_length": share("word_chars", "n_words"),
+        "symbol_share": share("n_symbols", "word_chars"),
+        "upper_share": share("_upper", "word_chars"),
+        "mark_share": share("_marks", "n_words"),
+        "dup_line_share": share("n_dup_lines", "n_lines"),
+        "repeat_share": share("n_repeat_words", "n_words"),
+    }
+    counts = [F.col(c) for c in COUNTS]
+    made = F.struct(*counts, *[column.alias(name) for name, column in shares.items()])
+    names = [*COUNTS, *shares]
+    # A generator, because a filter on a plain column would be pushed into the steps above, whose
+    # arrays would then be made anew for each of their elements.
+    return fifth.select(*[f"`{c}`" for c in df.columns if c not in names], F.inline(F.array(made)))
 
 
 def base_failed() -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordloom.llm.components import components
-from wordloom.llm.words import slices
+from wordloom.llm.words import mix, slices
 from wordloom.session import durable
 
 SHINGLE = 3
@@ -68,23 +68,30 @@ def lower_words(array: pa.Array) -> Iterator[list[bytes]]:
         yield (text or "").encode().lower().split()
 
 
-def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE, out: str = "fp") -> DataFrame:
+def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE, out: str = "fp", lanes: int = 1) -> DataFrame:
     """Add ``out``, the SimHash of the text's ``shingle``-word runs as a signed 64-bit integer.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; repeated shingles count each time. A text with
     fewer words is one shingle; NULL and empty texts have fingerprint 0. A column ``out`` is replaced.
+    With several ``lanes`` it is an array of independent fingerprints, made from remixed hashes.
     """
     kept = [c for c in df.columns if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                found = [fingerprint(shingle_hashes(w, shingle)) for w in lower_words(part.column(text))]
-                arrays = [part.column(c) for c in kept] + [pa.array(_signed(np.array(found, dtype=np.uint64)))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, out])
+                found = []
+                for words in lower_words(part.column(text)):
+                    hashes = shingle_hashes(words, shingle)
+                    for lane in range(lanes):
+                        found.append(fingerprint(hashes if lane == 0 else mix(hashes + np.uint64(lane))))
+                values = pa.array(_signed(np.array(found, dtype=np.uint64)))
+                if lanes > 1:
+                    values = pa.ListArray.from_arrays(pa.array(np.arange(0, len(found) + 1, lanes), pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), values], names=[*kept, out])
 
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.LongType())])
-    return df.mapInArrow(run, schema)
+    kind = T.LongType() if lanes == 1 else T.ArrayType(T.LongType())
+    return df.mapInArrow(run, T.StructType([*(df.schema[c] for c in kept), T.StructField(out, kind)]))
 
 
 class Orders:
@@ -348,3 +355,64 @@ def near_duplicates(
     by_fp = named.join(least, "_root").select("_fp", "component_id")
     digits = F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint")
     return marked.join(by_fp, "_fp").select(F.col("_key").alias(key), digits, "component_id")
+
+
+def shingle_sets(df: DataFrame, text: str, shingle: int, out: str = "shingles") -> DataFrame:
+    """Add ``out``: the distinct hashes of the text's ``shingle``-word runs; drops ``text``."""
+    kept = [c for c in df.columns if c not in (text, out)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                sets = [np.unique(shingle_hashes(w, shingle)) for w in lower_words(part.column(text))]
+                ends = np.cumsum([0, *map(len, sets)])
+                values = _signed(np.concatenate([np.zeros(0, np.uint64), *sets]))
+                arrays = [*(part.column(c) for c in kept), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, out])
+
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.LongType()))])
+    return df.mapInArrow(run, schema)
+
+
+def similar_groups(
+    df: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    similarity: float = 0.8,
+    shingle: int = 5,
+    hashed_shingle: int = 2,
+    budget: int = 4,
+    lanes: int = 3,
+) -> DataFrame:
+    """``(key, component_id)`` of every key that is in a group of near-duplicates, with its smallest key.
+
+    Fingerprints of ``hashed_shingle``-word runs in several lanes propose links, those within ``budget`` bits;
+    a link counts if the Jaccard similarity of the texts' distinct ``shingle``-word runs reaches
+    ``similarity``. Shorter runs give fingerprints that a changed word moves less. Of many near texts the
+    closest links that connect them are compared, never all pairs.
+
+    Rows that repeat a key are one document; the link of a document is judged on one of its rows.
+    NULL keys are in no group. NULL and empty texts are near-duplicates of each other.
+    """
+    known = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    marked = durable(fingerprints(known, "_text", hashed_shingle, "_fps", lanes).drop("_text"), "fingerprints")
+    near = None
+    for lane in range(lanes):
+        own = marked.select("_key", F.col("_fps")[lane].alias("_fp")) if lanes > 1 else marked.select("_key", F.col("_fps").alias("_fp"))
+        nodes = durable(own.groupBy("_fp").agg(F.min("_key").alias("_least")), "nodes")
+        equal = own.join(nodes, "_fp").select(F.col("_least").alias("a"), F.col("_key").alias("b"))
+        ends = [nodes.select(F.col("_fp").alias(c), F.col("_least").alias(f"_{c}")) for c in ("a", "b")]
+        linked = links(nodes, budget, "_fp").join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        both = equal.unionByName(linked).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        near = both if near is None else near.unionByName(both)
+    pairs = durable(near.distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
+    texts = known.join(wanted, "_key", "left_semi")
+    sets = durable(shingle_sets(texts, "_text", shingle).groupBy("_key").agg(F.max_by("shingles", F.size("shingles")).alias("s")), "shingles")
+    compared = pairs.join(sets.select(F.col("_key").alias("a"), F.col("s").alias("s1")), "a").join(
+        sets.select(F.col("_key").alias("b"), F.col("s").alias("s2")), "b"
+    )
+    shared = F.size(F.array_intersect("s1", "s2"))
+    union = F.size("s1") + F.size("s2") - shared
+    alike = compared.filter(shared >= F.lit(similarity) * union).select("a", "b")
+    return components(alike).select(F.col("node").alias(key), F.col("root").alias("component_id"))
