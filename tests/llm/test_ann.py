@@ -31,8 +31,20 @@ def test_bounds_hold():
     assert abs((estimate - exact).mean()) < 0.005
 
 
+@pytest.fixture
+def scattered(spark):
+    """Many shuffle partitions that are not joined again, so every key is in a task of its own."""
+    settings = {"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("blocks", [(7, 50), (1000, 8192)])
-def test_small_tables(spark, blocks):
+def test_small_tables(spark, scattered, blocks):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(8).astype("float32").tolist()) for i in range(200)]
     rows += [(200, rows[3][1]), (201, rows[3][1]), (10, rows[10][1])]  # ties and a repeated row

@@ -124,8 +124,9 @@ def nearest(
     dim_now = codes.select(F.size("vector").alias("n")).first()
     turn = rotation(dim_now["n"] if dim_now else 1)
     # Hashed row numbers deal evenly, whatever the ids are; every block meets every part of the queries.
-    block = F.pmod(F.xxhash64("row"), F.lit(n_blocks))
-    part = F.pmod(F.xxhash64(F.lit("query"), "row"), F.lit(n_parts))
+    # Both sides' keys have one type, or equal numbers would be dealt to different tasks.
+    block = F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("int")
+    part = F.pmod(F.xxhash64(F.lit("query"), "row"), F.lit(n_parts)).cast("int")
     left = codes.select("*", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"))
     right = asked.select(
         F.col("id").alias("query_id"), F.col("row").alias("query_row"), F.col("vector").alias("query"),
