@@ -65,6 +65,8 @@ def test_split_is_stable_and_complete(spark):
     again, _ = corpus.split(df.repartition(7))
     assert again.exceptAll(train).isEmpty()
     assert 350 < train.count() < 450
+    unkeyed = spark.createDataFrame([(None,), (3,)], "id long")
+    assert [part.filter("id IS NULL").count() for part in corpus.split(unkeyed)] == [1, 0]
     assert sum(part.count() for part in corpus.random_split(df)) == 500
 
 

@@ -4,10 +4,11 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from wordloom.operators import generate
-from wordloom.session import new_path
+from wordloom.operators import generate, ngram
+from wordloom.session import drop_tables, durable, new_path, shared_dir
 from wordloom.streaming import requests as streams
 
 CHECKED = [
@@ -42,7 +43,31 @@ def test_query_equals_sql(spark, sf, db, name):
 
 def test_entry(spark):
     rows = entry.entry(spark).collect()
-    assert 0 < len(rows) <= 10 and all(r["correct"] <= r["total"] for r in rows)
+    assert len(rows) == 10 and all(r["correct"] <= r["total"] for r in rows)
+
+
+def test_a_round_does_not_move_the_model(spark):
+    texts = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} w{i % 3} end") for i in range(60)], "id long, text string")
+    cells, totals = ngram.draw_buckets(ngram.draw_table(ngram.fit(texts)))
+    asked = durable(spark.createDataFrame([(1, "w1 w2")], "id long, context string"))
+    plan = ngram.draw(asked, cells, F.col("id"), "x", context_totals=totals)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("FileScan parquet")[1:]:
+        if "draws" in line.split("\n")[0] or "totals" in line.split("\n")[0]:
+            assert "Bucketed: true" in line or "SelectedBucketsCount" in line
+
+
+def test_written_tables_can_be_dropped(spark):
+    frame = durable(spark.range(5), "short-lived")
+    assert frame.count() == 5
+    folder = pathlib_of(shared_dir(spark))
+    assert any(folder.glob("short-lived-*"))
+    spark.range(3).write.parquet(f"{shared_dir(spark)}/own/kept")
+    drop_tables(spark)
+    assert not folder.exists()
+
+
+def pathlib_of(uri):
+    return Path(uri.removeprefix("file:"))
 
 
 def test_stream_equals_batch(spark):

@@ -26,22 +26,32 @@ from wordloom.session import durable
 
 LATENT_DIM = 15  # fixed value: size of trained word vectors
 SEED = 69
+VECTOR_PARTITIONS = 8
 
 
-def train_vectors(examples: DataFrame, dim: int = LATENT_DIM, window: int = 5, iterations: int = 1, seed: int = SEED) -> DataFrame:
+def train_vectors(
+    examples: DataFrame,
+    row_key: list[str],
+    dim: int = LATENT_DIM,
+    window: int = 5,
+    iterations: int = 1,
+    seed: int = SEED,
+    partitions: int = VECTOR_PARTITIONS,
+) -> DataFrame:
     """``(idx, vector)`` trained on the encoded examples.
 
     The words are vocabulary indexes, so the trainer's own tables are bounded by the vocabulary cap.
+    The vectors depend on the rows, their keys and ``partitions``, not on the cores of the machine.
     """
-    spark = examples.sparkSession
     known = F.filter(F.concat("context_ids", F.array("label")), lambda i: i != 0)
-    sentences = examples.select(known.cast("array<string>").alias("words"))
+    placed = examples.repartition(partitions, *row_key).sortWithinPartitions(*row_key)
+    sentences = placed.select(known.cast("array<string>").alias("words"))
     model = Word2Vec(
         vectorSize=dim,
         minCount=1,
         windowSize=window,
         maxIter=iterations,
-        numPartitions=spark.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         seed=seed,
         inputCol="words",
         outputCol="vector",
@@ -62,6 +72,7 @@ class NextWordModel:
     classifier: LogisticRegressionModel
     dim: int
     mask_padding: bool = True
+    history: tuple[float, ...] = ()
 
     def features(self, df: DataFrame, row_key: list[str]) -> DataFrame:
         pooled = context_vectors(
@@ -76,24 +87,24 @@ class NextWordModel:
 
     def best(self, df: DataFrame, row_key: list[str]) -> DataFrame:
         """Add the most probable index and its probability."""
-        top = F.array_max(F.col("probabilities"))
-        scored = self.score(df, row_key).withColumn("probability", top)
-        position = F.array_position("probabilities", F.col("probability"))
-        return scored.withColumn("predicted_idx", (position + (FIRST_IDX - 1)).cast("int")).drop("probabilities")
+        scored = self.classifier.transform(self.features(df, row_key))
+        chosen = F.col("prediction").cast("int")
+        return scored.select(
+            *df.columns,
+            F.get(vector_to_array("probability"), chosen).alias("probability"),
+            (chosen + FIRST_IDX).alias("predicted_idx"),
+        )
 
     def losses(self) -> DataFrame:
-        """``(iteration, loss)`` of the training."""
-        history = self.classifier.summary.objectiveHistory
+        """``(iteration, loss)`` of the training, also of a model that was saved and loaded."""
         spark = self.matrix.sparkSession
-        return spark.createDataFrame(
-            [(i, float(loss)) for i, loss in enumerate(history)], "iteration int, loss double"
-        )
+        return spark.createDataFrame(list(enumerate(self.history)), "iteration int, loss double")
 
     def save(self, path: str) -> None:
         self.classifier.write().save(f"{path}/classifier")
         self.matrix.write.parquet(f"{path}/vectors")
         self.matrix.sparkSession.createDataFrame(
-            [(self.dim, self.mask_padding)], "dim int, mask_padding boolean"
+            [(self.dim, self.mask_padding, list(self.history))], "dim int, mask_padding boolean, history array<double>"
         ).write.parquet(f"{path}/settings")
 
 
@@ -104,6 +115,7 @@ def load(spark: SparkSession, path: str) -> NextWordModel:
         LogisticRegressionModel.load(f"{path}/classifier"),
         settings["dim"],
         settings["mask_padding"],
+        tuple(settings["history"]),
     )
 
 
@@ -113,7 +125,7 @@ def train(
     matrix: DataFrame | None = None,
     dim: int = LATENT_DIM,
     mask_padding: bool = True,
-    epochs: int = 100,
+    iterations: int = 100,
     reg: float = 0.0,
 ) -> NextWordModel:
     """Fit on encoded examples ``(context_ids, label)``; unknown targets are left out.
@@ -122,11 +134,13 @@ def train(
     classifier has one class per vocabulary index, so its size is set by the vocabulary cap.
     """
     known = known_targets(examples)
-    matrix = train_vectors(known, dim) if matrix is None else matrix.select("idx", "vector")
+    matrix = train_vectors(known, row_key, dim) if matrix is None else matrix.select("idx", "vector")
     untrained = NextWordModel(matrix, None, dim, mask_padding)
     rows = untrained.features(known, row_key).select("features", (F.col("label") - FIRST_IDX).cast("double").alias("label"))
-    estimator = LogisticRegression(family="multinomial", maxIter=epochs, regParam=reg)
-    return NextWordModel(matrix, estimator.fit(durable(rows, "features")), dim, mask_padding)
+    estimator = LogisticRegression(family="multinomial", maxIter=iterations, regParam=reg)
+    fitted = estimator.fit(durable(rows, "features"))
+    history = tuple(float(loss) for loss in fitted.summary.objectiveHistory)
+    return NextWordModel(matrix, fitted, dim, mask_padding, history)
 
 
 def score_loss(scored: DataFrame, label: str = "label") -> DataFrame:
@@ -166,9 +180,10 @@ def proposer(model: NextWordModel, vocab: DataFrame, n: int, id: str = "request_
     """Candidates by the classifier's probability; ``k + n + 1`` are enough for ``k`` allowed ones."""
 
     def ranked(probabilities: Column) -> Column:
-        order = F.array_sort(
-            F.transform(probabilities, lambda p, i: F.struct((-p).alias("neg"), (i + FIRST_IDX).alias("idx")))
-        )
+        # The best ones reach the level of the k-th largest value; only they are ordered.
+        least = F.get(F.sort_array(probabilities, asc=False), F.lit(k + n))
+        placed = F.transform(probabilities, lambda p, i: F.struct((-p).alias("neg"), (i + FIRST_IDX).alias("idx")))
+        order = F.array_sort(F.filter(placed, lambda x: least.isNull() | (-x["neg"] >= least)))
         return F.transform(F.slice(order, 1, k + n + 1), lambda x: x["idx"])
 
     def propose(state: DataFrame) -> DataFrame:

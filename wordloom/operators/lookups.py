@@ -31,9 +31,11 @@ def lookup_positions(
     A table of a checked small size is broadcast and probed once per position, with no shuffle of
     ``df`` at all. Beyond that size the positions are exploded, joined by shuffle (the table's keys
     are unique, so a frequent key is split by the adaptive skew join) and put together again per
-    row, at most ``n`` values each; ``row_key`` must identify a row.
+    row, at most ``n`` values each; ``row_key`` must identify a row. NULL has no positions, like an
+    empty list.
     """
     columns = df.columns
+    positions = F.coalesce(positions, F.array().cast("array<string>"))
     if fits_broadcast(table, [key, value], limit):
         slim = F.broadcast(table.select(key, value))
         found = df.withColumn("_pos", positions)

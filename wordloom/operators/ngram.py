@@ -13,7 +13,7 @@ from wordloom.functions.rand import pick
 from wordloom.functions.text import LEFT_PAD, pad, windows, wordpunct_tokens
 from wordloom.operators.ids import running_total
 from wordloom.operators.lookups import BROADCAST_BYTES, fits_broadcast
-from wordloom.session import durable
+from wordloom.session import bucketed, durable
 
 ORDER = 3  # fixed value: trigrams
 _BLOCK = 4096
@@ -82,14 +82,13 @@ def only_asked(
 ) -> DataFrame:
     """The part of a model that back-off can reach from the contexts of ``df``, written apart.
 
-    The distinct contexts are broadcast if their measured size is below ``limit``; beyond it the
-    whole model is kept, which gives the same answers. ``counts`` is any table with a ``context``.
+    The distinct contexts, written once, are broadcast if their measured size is below ``limit``;
+    beyond it both sides are shuffled by context. ``counts`` is any table with a ``context``.
     """
     reach = [F.substring_index(context, " ", -(m - 1)) for m in range(1, order + 1)]
-    asked = df.select(F.explode(F.array(*reach)).alias("context")).distinct()
-    if not fits_broadcast(asked, ["context"], limit):
-        return counts
-    return durable(counts.join(F.broadcast(asked), "context", "left_semi").select(*counts.columns), "reached")
+    asked = durable(df.select(F.explode(F.array(*reach)).alias("context")).distinct(), "contexts")
+    side = F.broadcast(asked) if fits_broadcast(asked, ["context"], limit) else asked
+    return durable(counts.join(side, "context", "left_semi").select(*counts.columns), "reached")
 
 
 def totals(counts: DataFrame) -> DataFrame:
@@ -229,6 +228,12 @@ def draw_totals(table: DataFrame) -> DataFrame:
     return table.filter((F.col("lo") == 0) & (F.col("slot") == 0)).select("n", "context", "total", "width")
 
 
+def draw_buckets(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A draw table and its totals as bucketed tables, for any number of draws that don't move them."""
+    cells = bucketed(table, ["n", "context", "slot"], "draws")
+    return cells, bucketed(draw_totals(table), ["context"], "totals", partition_by="n")
+
+
 def draw(
     df: DataFrame,
     table: DataFrame,
@@ -238,12 +243,11 @@ def draw(
     order: int = ORDER,
     out: str = "word",
     context_totals: DataFrame | None = None,
-    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``out``: a word drawn by weight from the longest known context; NULL context, NULL word.
 
-    Asking rows of a checked small size are broadcast to the slots, so a large model is scanned
-    and not shuffled; otherwise both sides are shuffled on context and slot.
+    Every row of ``df`` comes back once; where the totals know a context that the table has no word for,
+    the word is NULL. With the tables of ``draw_buckets`` only the asking rows are shuffled.
     """
     columns = df.columns
     context_totals = draw_totals(table) if context_totals is None else context_totals
@@ -255,7 +259,6 @@ def draw(
         pick(salt, key, F.col("total")).alias("_point"),
         "width",
     ).withColumn("_cell", F.expr("_point div width"))
-    asked = durable(asked, "asked")
     side = table.select(*[F.col(c).alias(f"_t_{c}") for c in ("n", "context", "slot", "lo", "hi", "word")])
     hit = (
         (F.col("_order") == F.col("_t_n"))
@@ -264,14 +267,7 @@ def draw(
         & (F.col("_point") >= F.col("_t_lo"))
         & (F.col("_point") < F.col("_t_hi"))
     )
-    if not fits_broadcast(asked, asked.columns, limit):
-        return asked.join(side, hit, "left").select(*columns, F.col("_t_word").alias(out))
-    # Every row with a known context hits exactly one word, so the others can be added apart.
-    known = side.join(F.broadcast(asked.filter(F.col("_order").isNotNull())), hit)
-    unknown = asked.filter(F.col("_order").isNull())
-    return known.select(*columns, F.col("_t_word").alias(out)).unionByName(
-        unknown.select(*columns, F.lit(None).cast("string").alias(out))
-    )
+    return asked.join(side, hit, "left").select(*columns, F.col("_t_word").alias(out))
 
 
 def log_loss(held_out: DataFrame, model: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.text import CONTEXT_TOKENS, standard_tokens
 from wordloom.operators.lookups import BROADCAST_BYTES, lookup_positions
+from wordloom.session import durable
 
 # Reserved entries and the caps of the three models.
 PAD, UNK = "", "[UNK]"
 PAD_IDX, UNK_IDX, FIRST_IDX = 0, 1, 2
 MAX_TOKENS = 15_000
 MAX_TOKENS_VECTORS = 20_000
-MAX_TOKENS_PROTOTYPE = 10_000
 
 
 def token_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -30,11 +30,14 @@ def vocabulary(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS)
 
     Equal counts are ordered by token, descending. ``max_tokens`` includes the two reserved rows.
     """
-    top = (
-        token_counts(df, text)
-        .orderBy(F.desc("freq"), F.desc("token"))
-        .limit(max(max_tokens - FIRST_IDX, 0))
-    )
+    room = max(max_tokens - FIRST_IDX, 0)
+    counts = durable(token_counts(df, text), "token-counts")
+    # The frequency of the last word that gets in: then only the words of the cap and its ties are ordered.
+    spectrum = counts.groupBy("freq").count()
+    order = Window.orderBy(F.desc("freq")).rowsBetween(Window.unboundedPreceding, 0)
+    cut = spectrum.withColumn("_upto", F.sum("count").over(order)).filter(F.col("_upto") >= room).agg(F.max("freq")).first()[0]
+    near = counts.filter(F.col("freq") >= cut) if cut is not None else counts
+    top = near.orderBy(F.desc("freq"), F.desc("token")).limit(room)
     # The window has no partition, but at most ``max_tokens`` rows.
     rank = F.row_number().over(Window.orderBy(F.desc("freq"), F.desc("token")))
     words = top.select((rank + (FIRST_IDX - 1)).alias("idx"), "token", "freq")

@@ -82,7 +82,7 @@ def grams(where: str) -> str:
     g2 AS (SELECT t[i] AS b, t[i + 1] AS w, count(*) AS c
            FROM (SELECT t, unnest(range(1, len(t))) AS i FROM padded) GROUP BY ALL),
     g1 AS (SELECT w, count(*) AS c FROM (SELECT unnest(t) AS w FROM padded) GROUP BY ALL),
-    grams AS (
+    grams AS MATERIALIZED (
         SELECT 3 AS n, a || ' ' || b AS context, w AS word, c FROM g3
         UNION ALL SELECT 2, b, w, c FROM g2
         UNION ALL SELECT 1, '', w, c FROM g1)"""
@@ -114,10 +114,13 @@ TRIAL_ASKED = examples(
 )
 ACCURACY = f"""
     WITH {TRAIN_GRAMS}, asked AS ({TRIAL_ASKED}), {BACKED_OFF}, {BEST},
+    told AS (
+        SELECT trial, count(*) FILTER (WHERE word = next_word) AS correct, count(*) AS total
+        FROM placed JOIN best ON best.n = order_used AND best.context = ctx GROUP BY ALL),
     acc AS (
-        SELECT trial::INTEGER AS trial, count(*) FILTER (WHERE word = next_word) AS correct, count(*) AS total,
-               count(*) FILTER (WHERE word = next_word) / count(*) AS accuracy
-        FROM placed JOIN best ON best.n = order_used AND best.context = ctx GROUP BY ALL)"""
+        SELECT r.trial::INTEGER AS trial, coalesce(correct, 0) AS correct, coalesce(total, 0) AS total,
+               correct / total AS accuracy
+        FROM range(10) r(trial) LEFT JOIN told USING (trial))"""
 
 
 def drawn(weight: str) -> str:
@@ -180,8 +183,8 @@ def ngram_rounds(rounds: int) -> str:
             WHERE {key} % p{i}.total >= cum.hi - cum.c AND {key} % p{i}.total < cum.hi)""")
     return f"""
     WITH {TRAIN_GRAMS},
-    cum AS (SELECT n, context, word, c, sum(c) OVER (PARTITION BY n, context ORDER BY word) AS hi FROM grams),
-    tot AS (SELECT n, context, sum(c) AS total FROM grams GROUP BY ALL),
+    cum AS MATERIALIZED (SELECT n, context, word, c, sum(c) OVER (PARTITION BY n, context ORDER BY word) AS hi FROM grams),
+    tot AS MATERIALIZED (SELECT n, context, sum(c) AS total FROM grams GROUP BY ALL),
     {",".join(parts)}
     SELECT request_id,
            text || ' ' || coalesce(array_to_string(list_filter(words, lambda w: w NOT IN ('<s>', '</s>')), ' '), '')
@@ -220,7 +223,7 @@ def topk_rounds(rounds: int) -> str:
     return f"""
     WITH {TRAIN_GRAMS},
     vocab AS ({vocabulary(15_000)}),
-    lists AS (SELECT n, context, list(word ORDER BY c DESC, word) FILTER (word NOT IN ('<s>', '</s>')) AS best
+    lists AS MATERIALIZED (SELECT n, context, list(word ORDER BY c DESC, word) FILTER (word NOT IN ('<s>', '</s>')) AS best
               FROM grams GROUP BY ALL),
     {",".join(parts)}
     SELECT request_id, text || ' ' || array_to_string(words, ' ') AS generated_text FROM r{rounds}"""
@@ -230,7 +233,9 @@ ORACLES: dict[str, str] = {
     "scan_csv": """
         SELECT doc_id::INTEGER AS id, source AS tag, n_chars::INTEGER AS views, text AS lyrics, lang AS language
         FROM documents""",
-    "write_corpus": "SELECT doc_id::INTEGER AS id, source AS tag, text AS lyrics, lang AS language FROM documents",
+    "write_corpus": f"""
+        SELECT doc_id::INTEGER AS id, source AS tag, text AS lyrics, lang AS language,
+               CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS part FROM documents""",
     "write_snippets": f"SELECT snippet FROM ({SNIPPETS})",
     "read_word_vectors": f"""
         SELECT 'w' || vec_id AS word, len(embedding)::INTEGER AS dim, {MICRO.format(v='embedding')} AS vector
@@ -256,18 +261,19 @@ ORACLES: dict[str, str] = {
     "lookup_by_id": """
         SELECT doc_id AS id, lang, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""",
     "split_train_test": f"""
-        SELECT doc_id AS id, CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS part FROM documents""",
+        SELECT doc_id AS id, text, lang, source, n_chars,
+               CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS part FROM documents""",
     "sample_fraction": f"""
-        SELECT doc_id AS id, n_chars FROM documents WHERE {h("'sample'", 'doc_id')} < 115292150460684704""",
+        SELECT doc_id AS id, text, lang, source, n_chars FROM documents WHERE {h("'sample'", 'doc_id')} < 115292150460684704""",
     "sample_n_rows": f"""
-        SELECT doc_id AS id, n_chars FROM documents ORDER BY {h("'sample-rows'", 'doc_id')}, doc_id LIMIT 100""",
+        SELECT doc_id AS id, text, lang, source, n_chars FROM documents ORDER BY {h("'sample-rows'", 'doc_id')}, doc_id LIMIT 100""",
     "trial_samples": f"""
-        SELECT doc_id AS id, trial::INTEGER AS trial FROM documents, range(10) r(trial)
+        SELECT doc_id AS id, text, lang, source, n_chars, trial::INTEGER AS trial FROM documents, range(10) r(trial)
         WHERE {h("'trial' || trial::VARCHAR", 'doc_id')} % 10 = 0""",
-    "dense_id": "SELECT doc_id, lang, row_number() OVER (ORDER BY lang, doc_id) - 1 AS id FROM documents",
+    "dense_id": "SELECT *, row_number() OVER (ORDER BY lang, doc_id) - 1 AS id FROM documents",
     "batch_assign": """
-        SELECT doc_id, id, id // 64 AS batch_id
-        FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS id FROM documents)""",
+        SELECT *, id // 64 AS batch_id
+        FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS id FROM documents)""",
     "tokenize_words": tokens_query(f"regexp_extract_all(text, {WORD})"),
     "tokenize_lower": tokens_query(f"regexp_extract_all(lower(text), {WORD})"),
     "standardize_text": f"SELECT doc_id AS id, translate(lower(text), {PUNCT}, '') AS standard FROM documents",
@@ -357,25 +363,29 @@ ORACLES: dict[str, str] = {
     "ngram_accuracy": ACCURACY + " SELECT trial, correct, total, round(accuracy, 6) AS accuracy FROM acc",
     "accuracy_summary": ACCURACY
     + """
-        SELECT count(*) AS trials, round(avg(accuracy), 6) AS mean_accuracy,
+        SELECT count(*) AS trials, count(accuracy) AS trials_used, round(avg(accuracy), 6) AS mean_accuracy,
                round(stddev_samp(accuracy), 6) AS stddev,
-               round(avg(accuracy) - 1.96 * stddev_samp(accuracy) / sqrt(count(*)), 6) AS ci_low,
-               round(avg(accuracy) + 1.96 * stddev_samp(accuracy) / sqrt(count(*)), 6) AS ci_high
+               round(avg(accuracy) - 1.96 * stddev_samp(accuracy) / sqrt(count(accuracy)), 6) AS ci_low,
+               round(avg(accuracy) + 1.96 * stddev_samp(accuracy) / sqrt(count(accuracy)), 6) AS ci_high
         FROM acc""",
     "accuracy_histogram": ACCURACY
     + """
         , bounds AS (SELECT min(accuracy) AS low, max(accuracy) AS high FROM acc)
-        SELECT (CASE WHEN high = low THEN 0
-                ELSE least(floor((accuracy - low) / (high - low) * 10), 9) END)::INTEGER AS bin,
-               count(*) AS n
-        FROM acc, bounds GROUP BY 1""",
+        , told_bins AS (
+            SELECT (CASE WHEN high = low THEN 0
+                    ELSE least(floor((accuracy - low) / (high - low) * 10), 9) END)::INTEGER AS bin,
+                   count(*) AS n
+            FROM acc, bounds WHERE accuracy IS NOT NULL GROUP BY 1)
+        SELECT b.bin::INTEGER AS bin, round(low + (high - low) * b.bin / 10, 6) AS low,
+               round(low + (high - low) * (b.bin + 1) / 10, 6) AS high, coalesce(n, 0) AS n
+        FROM range(10) b(bin) CROSS JOIN bounds LEFT JOIN told_bins USING (bin)""",
     "model_cost_summary": """
         SELECT event_type AS model, count(*) AS runs, round(avg(value), 6) AS mean_seconds
         FROM events GROUP BY event_type""",
-    "generate_topk": topk_rounds(3),
-    "generate_ngram": ngram_rounds(3),
+    "generate_topk": topk_rounds(10),
+    "generate_ngram": ngram_rounds(10),
     "generate_plugin": rf"""
-        SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, 3) END AS generated_text
+        SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, 10) END AS generated_text
         FROM (SELECT request_id, text, regexp_extract_all(text, '[^\s]+')[-1] AS w FROM {USER_TURNS})""",
     # The last known word of the context; without one, all words are equal and the first one wins.
     "score_plugin": f"""

@@ -20,10 +20,11 @@ QUERIES: dict[str, Query] = {}
 
 SAMPLE_ROWS = 100
 BATCH_SIZE = 64
-GENERATED_WORDS = 3
+GENERATED_WORDS = 10
 TEMPERATURE = 2.0
-LEARN_TOKENS = 1_000
-LEARN_EPOCHS = 10
+LEARN_PASSES = 10  # examples drawn of each text
+LEARN_ITERATIONS = 10  # steps of the optimiser
+PLUGIN_TOKENS = 1_000  # classes of the stand-in for an external network
 
 
 def query(run: Query) -> Query:
@@ -57,7 +58,9 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
 def write_corpus(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "corpus")
     songs = inputs.songs(spark, sf)
-    tables.write_parquet(songs.select("id", "tag", "lyrics", "language"), path, files=25)
+    parts = corpus.split(songs.select("id", "tag", "lyrics", "language"))
+    for name, part in zip(("train", "test"), parts):
+        tables.write_parquet(part, f"{path}/part={name}", max_records_per_file=100_000)
     return tables.read_parquet(spark, path)
 
 
@@ -129,38 +132,38 @@ def lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def split_train_test(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    docs = inputs.table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     train, test = corpus.split(docs)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 @query
 def sample_fraction(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "n_chars")
+    docs = inputs.table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     return corpus.sample_fraction(docs, 0.1)
 
 
 @query
 def sample_n_rows(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "n_chars")
+    docs = inputs.table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     return corpus.sample_exact(docs, SAMPLE_ROWS)
 
 
 @query
 def trial_samples(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    docs = inputs.table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     return corpus.trials(docs)
 
 
 @query
 def dense_id(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").select("doc_id", "lang")
+    docs = inputs.table(spark, sf, "documents")
     return ids.dense_id(docs, ["lang", "doc_id"])
 
 
 @query
 def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").select("doc_id")
+    docs = inputs.table(spark, sf, "documents")
     return ids.batches(ids.dense_id(docs, ["doc_id"]), BATCH_SIZE)
 
 
@@ -392,7 +395,7 @@ def ngram_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def _accuracy(spark: SparkSession, sf: str) -> DataFrame:
     train, test = inputs.train_test(spark, sf)
-    return evaluate.accuracy(evaluate.trial_predictions(test, inputs.model(train)))
+    return evaluate.accuracy(evaluate.trial_predictions(test, inputs.model(train)), trials=corpus.TRIALS)
 
 
 @query
@@ -403,12 +406,14 @@ def ngram_accuracy(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def accuracy_summary(spark: SparkSession, sf: str) -> DataFrame:
     summary = evaluate.accuracy_summary(_accuracy(spark, sf))
-    return summary.select("trials", *[F.round(c, 6).alias(c) for c in summary.columns if c != "trials"])
+    counts = ["trials", "trials_used"]
+    return summary.select(*counts, *[F.round(c, 6).alias(c) for c in summary.columns if c not in counts])
 
 
 @query
 def accuracy_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.histogram(durable(_accuracy(spark, sf), "accuracies"))
+    bins = evaluate.histogram(durable(_accuracy(spark, sf), "accuracies"))
+    return bins.select("bin", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "n")
 
 
 @query
@@ -435,7 +440,7 @@ def generate_topk(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def generate_ngram(spark: SparkSession, sf: str) -> DataFrame:
     counts = inputs.model(inputs.train_test(spark, sf)[0])
-    draws = durable(ngram.draw_table(counts), "draws")
+    draws = ngram.draw_table(counts)
     answered = generate.generate_ngram(inputs.requests(spark, sf), draws, GENERATED_WORDS)
     return answered.select("request_id", "generated_text")
 
@@ -463,20 +468,28 @@ def route_requests(spark: SparkSession, sf: str) -> DataFrame:
 # --- Learned model ---
 
 
+_LEARNED: dict[tuple, tuple] = {}
+
+
 def _learned(spark: SparkSession, sf: str, with_vectors: bool = False) -> tuple[learn.NextWordModel, DataFrame, DataFrame]:
-    """Model, vocabulary, and encoded held-out examples."""
+    """Model, vocabulary, and encoded held-out examples; trained once per application and input."""
+    key = (spark.sparkContext.applicationId, sf, with_vectors)
+    if key in _LEARNED:
+        return _LEARNED[key]
     train, test = inputs.train_test(spark, sf)
-    words = durable(vocab.vocabulary(train, max_tokens=LEARN_TOKENS), "vocabulary")
+    cap = vocab.MAX_TOKENS_VECTORS if with_vectors else vocab.MAX_TOKENS
+    words = durable(vocab.vocabulary(train, max_tokens=cap), "vocabulary")
     tokens = examples.tokenizer()
-    drawn = examples.random_examples(train, tokens=tokens, passes=LEARN_EPOCHS)
+    drawn = examples.random_examples(train, tokens=tokens, passes=LEARN_PASSES)
     fitted = durable(examples.encoded_examples(drawn, words, ["id", "pass"]), "examples")
     held_out = examples.random_examples(test, tokens=tokens)
     matrix = durable(_matrix(spark, sf, words), "matrix") if with_vectors else None
     dim = inputs.VECTOR_DIM if with_vectors else learn.LATENT_DIM
     model = learn.train(
-        fitted, ["id", "pass"], matrix, dim, mask_padding=not with_vectors, epochs=LEARN_EPOCHS
+        fitted, ["id", "pass"], matrix, dim, mask_padding=not with_vectors, iterations=LEARN_ITERATIONS
     )
-    return model, words, examples.encoded_examples(held_out, words, ["id"])
+    _LEARNED[key] = model, words, durable(examples.encoded_examples(held_out, words, ["id"]), "held-out")
+    return _LEARNED[key]
 
 
 def _network_predictions(model: learn.NextWordModel, words: DataFrame, test: DataFrame) -> DataFrame:
@@ -506,7 +519,7 @@ def _copying_model() -> Callable[[np.ndarray], np.ndarray]:
     """Stands for an external network: prefers the words of the context, the last one most."""
 
     def predict(ids: np.ndarray) -> np.ndarray:
-        scores = np.full((len(ids), LEARN_TOKENS - vocab.FIRST_IDX), 1.0, dtype="float32")
+        scores = np.full((len(ids), PLUGIN_TOKENS - vocab.FIRST_IDX), 1.0, dtype="float32")
         rows, places = np.nonzero(ids >= vocab.FIRST_IDX)
         scores[rows, ids[rows, places].astype(int) - vocab.FIRST_IDX] = 2.0 + places
         return scores / scores.sum(axis=1, keepdims=True)
@@ -516,7 +529,7 @@ def _copying_model() -> Callable[[np.ndarray], np.ndarray]:
 
 @query
 def score_plugin(spark: SparkSession, sf: str) -> DataFrame:
-    words = inputs.vocabulary(spark, sf, LEARN_TOKENS)
+    words = inputs.vocabulary(spark, sf, PLUGIN_TOKENS)
     scored = learn.score_plugin(_encoded(spark, sf, words), _copying_model)
     best = F.array_position("probabilities", F.array_max("probabilities")) + (vocab.FIRST_IDX - 1)
     return vocab.decode(scored.select("id", best.cast("int").alias("idx")), words, out="predicted")
@@ -537,21 +550,21 @@ def generate_scored(spark: SparkSession, sf: str) -> DataFrame:
 def _models(spark: SparkSession, sf: str) -> dict[str, generate.Generator]:
     """All four generators, fitted on the training texts."""
     counts = inputs.model(inputs.train_test(spark, sf)[0])
-    draws = durable(ngram.draw_table(counts), "draws")
+    draws = ngram.draw_buckets(ngram.draw_table(counts))
     own, words, _ = _learned(spark, sf)
-    given, _, _ = _learned(spark, sf, with_vectors=True)
+    given, given_words, _ = _learned(spark, sf, with_vectors=True)
     return {
         "baseline": lambda r: generate.generate_ngram(r, draws),
         "inhouse": lambda r: learn.generate_scored(r, own, words),
-        "glove": lambda r: learn.generate_scored(r, given, words),
+        "glove": lambda r: learn.generate_scored(r, given, given_words),
         "gpt2": lambda r: generate.generate_plugin(r, _echo_model),
     }
 
 
 def _asked(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.requests(spark, sf).select(
-        "request_id", "text", F.lit(GENERATED_WORDS).alias("n"), F.lit(0).alias("model_n")
-    )
+    """Requests as they come in: a third without a number of words, none with a model."""
+    number = F.when(F.col("request_id") % 3 != 0, (F.col("request_id") % 10 + 1).cast("int"))
+    return inputs.requests(spark, sf).select("request_id", "text", number.alias("n"), F.lit(None).cast("int").alias("model_n"))
 
 
 @query

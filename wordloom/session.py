@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INPUT_PARTITIONS_CONF = "spark.wordloom.inputPartitions"
 
 
 def local_session(app_name: str = "wordloom", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session. Library code never calls this; a cluster brings its own session."""
+    """A single-machine session. Library code never calls this; a cluster brings its own session.
+
+    It has a folder of its own for written tables (``drop_tables`` empties it), and deals the rows of
+    small input files to all cores.
+    """
+    number = int(cores) if cores.isdigit() else os.cpu_count() or 1
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="wordloom-"))
+        .config(INPUT_PARTITIONS_CONF, str(number))
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
@@ -60,12 +69,34 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, columns: list[str], name: str = "buckets", partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``columns`` in the shared folder and read it back.
+
+    Joins and groupings on exactly these columns then leave the table where it is; only the other
+    side is shuffled. There are as many buckets as shuffle partitions, one file each.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, name)
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *columns).write.bucketBy(buckets, *columns).sortBy(*columns)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete every table that this application has written to the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` by ``keys`` when its scan has fewer splits than there are cores.
+    """Deal a small input to ``spark.wordloom.inputPartitions`` partitions, where a session sets that.
 
-    A large table has many splits and passes through untouched, without a shuffle.
+    Only ``local_session`` does: its input files have too few row groups to occupy all cores. Without
+    the setting, as on a cluster, the scan's own splits stay and nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    partitions = df.sparkSession.conf.get(INPUT_PARTITIONS_CONF, None)
+    return df.repartition(int(partitions), *keys) if partitions else df
