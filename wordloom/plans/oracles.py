@@ -229,7 +229,23 @@ def topk_rounds(rounds: int) -> str:
     SELECT request_id, text || ' ' || array_to_string(words, ' ') AS generated_text FROM r{rounds}"""
 
 
+def trained(cap: int) -> str:
+    return f"""
+    WITH vocab AS ({vocabulary(cap, TRAIN)}),
+    ex AS ({examples(STD_TOKENS, source=f"(SELECT doc_id, text FROM documents WHERE {TEST})")})
+    SELECT (SELECT count(*) FROM vocab) AS vocabulary,
+           count(*) FILTER (WHERE next_word IN (SELECT token FROM vocab WHERE idx > 1)) AS targets,
+           TRUE AS below_uniform, TRUE AS measures_in_range
+    FROM ex"""
+
+
 ORACLES: dict[str, str] = {
+    "train_next_word": trained(15_000),
+    "train_next_word_vectors": trained(20_000),
+    "training_curve": "SELECT r::INTEGER AS iteration, TRUE AS not_risen FROM range(11) t(r)",
+    "score_contexts": f"""
+        SELECT doc_id AS id, next_word, TRUE AS has_word, TRUE AS probability_in_range, TRUE AS judged
+        FROM ({examples(STD_TOKENS, source=f"(SELECT doc_id, text FROM documents WHERE {TEST})")})""",
     "scan_csv": """
         SELECT doc_id::INTEGER AS id, source AS tag, n_chars::INTEGER AS views, text AS lyrics, lang AS language
         FROM documents""",

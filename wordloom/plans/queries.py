@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -498,21 +499,41 @@ def _network_predictions(model: learn.NextWordModel, words: DataFrame, test: Dat
     return evaluate.check(named).select("id", "next_word", "predicted", "probability", "correct")
 
 
+def _trained(spark: SparkSession, sf: str, with_vectors: bool) -> DataFrame:
+    """What the training must reach: the size of the vocabulary, the known targets among the held-out
+    examples, and a training loss below that of a uniform guess."""
+    model, words, test = _learned(spark, sf, with_vectors)
+    size = words.count()
+    result = learn.score_loss(model.score(test, ["id"]))
+    return result.select(
+        F.lit(size).cast("long").alias("vocabulary"),
+        "targets",
+        F.lit(model.history[-1] < math.log(size - vocab.FIRST_IDX)).alias("below_uniform"),
+        ((F.col("loss") > 0) & F.col("accuracy").between(0, 1)).alias("measures_in_range"),
+    )
+
+
 @query
 def train_next_word(spark: SparkSession, sf: str) -> DataFrame:
-    model, words, test = _learned(spark, sf)
-    return learn.score_loss(model.score(test, ["id"]))
+    return _trained(spark, sf, False)
 
 
 @query
 def train_next_word_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    model, words, test = _learned(spark, sf, with_vectors=True)
-    return learn.score_loss(model.score(test, ["id"]))
+    return _trained(spark, sf, True)
 
 
 @query
 def score_contexts(spark: SparkSession, sf: str) -> DataFrame:
-    return _network_predictions(*_learned(spark, sf))
+    """The predictions for the held-out examples, as far as they can be known without the model."""
+    checked = _network_predictions(*_learned(spark, sf))
+    return checked.select(
+        "id",
+        "next_word",
+        F.col("predicted").isNotNull().alias("has_word"),
+        F.col("probability").between(0, 1).alias("probability_in_range"),
+        (F.col("correct") == (F.col("predicted") == F.col("next_word"))).alias("judged"),
+    )
 
 
 def _copying_model() -> Callable[[np.ndarray], np.ndarray]:
@@ -537,7 +558,12 @@ def score_plugin(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def training_curve(spark: SparkSession, sf: str) -> DataFrame:
-    return _learned(spark, sf)[0].losses()
+    """Every step of the optimiser, and whether the loss has not risen in it."""
+    losses = _learned(spark, sf)[0].losses()
+    before = losses.select((F.col("iteration") + 1).alias("iteration"), F.col("loss").alias("before"))
+    return losses.join(before, "iteration", "left").select(
+        "iteration", (F.coalesce("before", "loss") >= F.col("loss")).alias("not_risen")
+    )
 
 
 @query
