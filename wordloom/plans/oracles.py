@@ -160,36 +160,123 @@ SNIPPETS = f"""
           FROM (SELECT doc_id, text, regexp_extract_all(lower(text), {WORD}) AS t FROM documents))"""
 
 
-def ngram_rounds(rounds: int) -> str:
-    """Weighted draws, one CTE per round; the tail is the last two words."""
+def finished(tag: str, rounds: int) -> str:
+    """The requests of every round that have their words then."""
+    return " UNION ALL ".join(f"SELECT request_id, text, words FROM {tag}{i} WHERE n = {i}" for i in range(rounds + 1))
+
+
+DRAW_TABLES = """
+    cum AS MATERIALIZED (SELECT n, context, word, c, sum(c) OVER (PARTITION BY n, context ORDER BY word) AS hi FROM grams),
+    tot AS MATERIALIZED (SELECT n, context, sum(c) AS total FROM grams GROUP BY ALL)"""
+
+
+def drawn_text(tag: str, rounds: int) -> str:
+    return f"""
+    SELECT request_id,
+           text || ' ' || coalesce(array_to_string(list_filter(words, lambda w: w NOT IN ('<s>', '</s>')), ' '), '')
+           AS generated_text
+    FROM ({finished(tag, rounds)})"""
+
+
+def ngram_loop(rounds: int, source: str, tag: str = "r") -> str:
+    """Weighted draws for the requests ``(request_id, text, n)``, one CTE per round; the tail is the last two words."""
     parts = [
-        f"""r0 AS (SELECT request_id, text, t[-2] AS w1, t[-1] AS w2, [] ::VARCHAR[] AS words
-            FROM (SELECT request_id, text, {LOW_WORDPUNCT} AS t FROM {USER_TURNS}))"""
+        f"""{tag}0 AS MATERIALIZED (SELECT request_id, text, n, t[-2] AS w1, t[-1] AS w2, []::VARCHAR[] AS words
+            FROM (SELECT request_id, text, n, {LOW_WORDPUNCT} AS t FROM {source}))"""
     ]
     for i in range(rounds):
         key = h(f"'ngram{i}'", "request_id")
         parts.append(f"""
-        p{i} AS (
+        {tag}p{i} AS (
             SELECT r.*, coalesce(x3.total, x2.total, x1.total) AS total,
                    CASE WHEN x3.n IS NOT NULL THEN 3 WHEN x2.n IS NOT NULL THEN 2 ELSE 1 END AS k,
                    CASE WHEN x3.n IS NOT NULL THEN w1 || ' ' || w2 WHEN x2.n IS NOT NULL THEN w2 ELSE '' END AS ctx
-            FROM r{i} r
+            FROM (SELECT * FROM {tag}{i} WHERE n > {i}) r
             LEFT JOIN tot x3 ON x3.n = 3 AND x3.context = w1 || ' ' || w2
             LEFT JOIN tot x2 ON x2.n = 2 AND x2.context = w2
             LEFT JOIN tot x1 ON x1.n = 1),
-        r{i + 1} AS (
-            SELECT request_id, text, w2 AS w1, cum.word AS w2, list_append(words, cum.word) AS words
-            FROM p{i} JOIN cum ON cum.n = k AND cum.context = ctx
-            WHERE {key} % p{i}.total >= cum.hi - cum.c AND {key} % p{i}.total < cum.hi)""")
+        {tag}{i + 1} AS MATERIALIZED (
+            SELECT request_id, text, p.n AS n, w2 AS w1, cum.word AS w2, list_append(words, cum.word) AS words
+            FROM {tag}p{i} p JOIN cum ON cum.n = k AND cum.context = ctx
+            WHERE {key} % p.total >= cum.hi - cum.c AND {key} % p.total < cum.hi)""")
+    return ",".join(parts)
+
+
+def ngram_rounds(rounds: int) -> str:
+    source = f"(SELECT *, {rounds} AS n FROM {USER_TURNS})"
+    return f"WITH {TRAIN_GRAMS}, {DRAW_TABLES}, {ngram_loop(rounds, source)} {drawn_text('r', rounds)}"
+
+
+def scored_tables(cap: int, tag: str = "") -> str:
+    """Vocabulary and, for each of its words, the 40 that follow it most often in the training texts."""
     return f"""
-    WITH {TRAIN_GRAMS},
-    cum AS MATERIALIZED (SELECT n, context, word, c, sum(c) OVER (PARTITION BY n, context ORDER BY word) AS hi FROM grams),
-    tot AS MATERIALIZED (SELECT n, context, sum(c) AS total FROM grams GROUP BY ALL),
-    {",".join(parts)}
-    SELECT request_id,
-           text || ' ' || coalesce(array_to_string(list_filter(words, lambda w: w NOT IN ('<s>', '</s>')), ' '), '')
-           AS generated_text
-    FROM r{rounds}"""
+    v{tag} AS MATERIALIZED ({vocabulary(cap)}),
+    followed{tag} AS (
+        SELECT x.idx AS a, y.idx AS b, count(*) AS c
+        FROM (SELECT t[i] AS ta, t[i + 1] AS tb
+              FROM (SELECT t, unnest(range(1, len(t))) AS i FROM (SELECT {STD_TOKENS} AS t FROM documents WHERE {TRAIN})))
+        JOIN v{tag} x ON x.token = ta AND x.idx > 1 JOIN v{tag} y ON y.token = tb AND y.idx > 1 GROUP BY ALL),
+    best{tag} AS MATERIALIZED (
+        SELECT a, list(b ORDER BY c DESC, b) AS best
+        FROM (SELECT * FROM followed{tag} QUALIFY row_number() OVER (PARTITION BY a ORDER BY c DESC, b) <= 40) GROUP BY a)"""
+
+
+def scored_loop(rounds: int, source: str, tag: str, tables: str = "") -> str:
+    """Uniform choices among the ten best allowed indexes, one CTE per round."""
+    parts = [
+        rf"""{tag}0 AS MATERIALIZED (
+            SELECT request_id, text, n, regexp_extract_all(text, '[^ \t\n\x0B\f\r]+') AS ctx, []::VARCHAR[] AS words,
+                   CASE WHEN idx IS NULL THEN []::INTEGER[] ELSE [idx] END AS phrase
+            FROM {source} LEFT JOIN v{tables} ON token = text)"""
+    ]
+    tail = STD_TOKENS.replace("text", "array_to_string(ctx, ' ')")
+    for i in range(rounds):
+        key, other = h(f"'topk{i}'", "request_id"), h(f"'topk-random{i}'", "request_id")
+        parts.append(f"""
+        {tag}p{i} AS (
+            SELECT r.*, list_filter(best, lambda w: NOT list_contains(phrase, w))[1:10] AS allowed
+            FROM (SELECT *, ({tail})[1:10][-1] AS last FROM {tag}{i} WHERE n > {i}) r
+            LEFT JOIN v{tables} k ON k.token = last AND k.idx > 1 LEFT JOIN best{tables} ON a = k.idx),
+        {tag}c{i} AS (
+            SELECT *, coalesce(allowed[1 + {key} % greatest(len(allowed), 1)],
+                               greatest(2, {other} % (SELECT count(*) FROM v{tables})))::INTEGER AS chosen FROM {tag}p{i}),
+        {tag}{i + 1} AS MATERIALIZED (
+            SELECT request_id, text, n, list_append(ctx, token)[2:] AS ctx, list_append(words, token) AS words,
+                   list_append(phrase, chosen) AS phrase
+            FROM {tag}c{i} JOIN v{tables} ON idx = chosen)""")
+    return ",".join(parts)
+
+
+def scored_rounds(rounds: int) -> str:
+    source = f"(SELECT *, {rounds} AS n FROM {USER_TURNS})"
+    return f"""
+    WITH {scored_tables(15_000)}, {scored_loop(rounds, source, "s")}
+    SELECT request_id, text || ' ' || array_to_string(words, ' ') AS generated_text FROM ({finished("s", rounds)})"""
+
+
+def answers() -> str:
+    """All four generators for requests with their own number of words, 20 where none is given."""
+    routed = f"""(SELECT request_id, text, (CASE WHEN request_id % 3 <> 0 THEN request_id % 10 + 1 ELSE 20 END)::INTEGER AS n,
+                         ['baseline', 'inhouse', 'glove', 'gpt2'][1 + {h("'model'", "request_id")} % 4] AS model_used
+                  FROM {USER_TURNS})"""
+
+    def to(name: str) -> str:
+        return f"(SELECT request_id, text, n FROM routed WHERE model_used = '{name}')"
+
+    def scored(tag: str, name: str) -> str:
+        return f"""SELECT request_id, text || ' ' || array_to_string(words, ' ') AS generated_text, '{name}' AS model_used
+                   FROM ({finished(tag, 20)})"""
+
+    return rf"""
+    WITH routed AS MATERIALIZED (SELECT * FROM {routed}), {TRAIN_GRAMS}, {DRAW_TABLES},
+    {ngram_loop(20, to("baseline"))},
+    {scored_tables(15_000, "1")}, {scored_loop(20, to("inhouse"), "s", "1")},
+    {scored_tables(20_000, "2")}, {scored_loop(20, to("glove"), "g", "2")}
+    SELECT *, 'baseline' AS model_used FROM ({drawn_text("r", 20)})
+    UNION ALL {scored("s", "inhouse")} UNION ALL {scored("g", "glove")}
+    UNION ALL
+    SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, n) END, 'gpt2'
+    FROM (SELECT request_id, text, n, regexp_extract_all(text, '[^\s]+')[-1] AS w FROM {to("gpt2")})"""
 
 
 def topk_rounds(rounds: int) -> str:
@@ -400,6 +487,10 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY event_type""",
     "generate_topk": topk_rounds(10),
     "generate_ngram": ngram_rounds(10),
+    "generate_scored": scored_rounds(10),
+    "answer_requests": answers(),
+    "answer_request_stream": answers(),
+    "generate_network": f"SELECT request_id, TRUE AS keeps_text FROM {USER_TURNS}",
     "generate_plugin": rf"""
         SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, 10) END AS generated_text
         FROM (SELECT request_id, text, regexp_extract_all(text, '[^\s]+')[-1] AS w FROM {USER_TURNS})""",

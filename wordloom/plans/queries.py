@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {}
 SAMPLE_ROWS = 100
 BATCH_SIZE = 64
 GENERATED_WORDS = 10
+SCORED_CHOICES = 40
 TEMPERATURE = 2.0
 LEARN_PASSES = 10  # examples drawn of each text
 LEARN_ITERATIONS = 10  # steps of the optimiser
@@ -567,22 +568,37 @@ def training_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def generate_scored(spark: SparkSession, sf: str) -> DataFrame:
+def generate_network(spark: SparkSession, sf: str) -> DataFrame:
+    """Words by the trained classifier."""
     model, words, _ = _learned(spark, sf)
     answered = learn.generate_scored(inputs.requests(spark, sf), model, words, GENERATED_WORDS)
+    return answered.select("request_id", F.startswith("generated_text", "text").alias("keeps_text"))
+
+
+def _fixed_scores(spark: SparkSession, sf: str, max_tokens: int) -> tuple[generate.Proposer, DataFrame]:
+    """A scoring table that SQL can repeat: what follows a word most often in the training texts."""
+    words = inputs.vocabulary(spark, sf, max_tokens)
+    lists = generate.next_index_lists(inputs.train_test(spark, sf)[0], words, SCORED_CHOICES)
+    return generate.list_proposer(lists, words), words
+
+
+@query
+def generate_scored(spark: SparkSession, sf: str) -> DataFrame:
+    answered = generate.generate_topk(
+        inputs.requests(spark, sf), *_fixed_scores(spark, sf, vocab.MAX_TOKENS), GENERATED_WORDS
+    )
     return answered.select("request_id", "generated_text")
 
 
 def _models(spark: SparkSession, sf: str) -> dict[str, generate.Generator]:
-    """All four generators, fitted on the training texts."""
-    counts = inputs.model(inputs.train_test(spark, sf)[0])
-    draws = ngram.draw_buckets(ngram.draw_table(counts))
-    own, words, _ = _learned(spark, sf)
-    given, given_words, _ = _learned(spark, sf, with_vectors=True)
+    """All four generators; the two networks stand as fixed scoring tables."""
+    draws = ngram.draw_buckets(ngram.draw_table(inputs.model(inputs.train_test(spark, sf)[0])))
+    own = _fixed_scores(spark, sf, vocab.MAX_TOKENS)
+    given = _fixed_scores(spark, sf, vocab.MAX_TOKENS_VECTORS)
     return {
         "baseline": lambda r: generate.generate_ngram(r, draws),
-        "inhouse": lambda r: learn.generate_scored(r, own, words),
-        "glove": lambda r: learn.generate_scored(r, given, given_words),
+        "inhouse": lambda r: generate.generate_topk(r, *own),
+        "glove": lambda r: generate.generate_topk(r, *given),
         "gpt2": lambda r: generate.generate_plugin(r, _echo_model),
     }
 
