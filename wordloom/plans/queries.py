@@ -24,7 +24,7 @@ BATCH_SIZE = 64
 GENERATED_WORDS = 10
 SCORED_CHOICES = 40
 TEMPERATURE = 2.0
-LEARN_PASSES = 10  # examples drawn of each text
+LEARN_PASSES = 2  # examples drawn of each text
 LEARN_ITERATIONS = 10  # steps of the optimiser
 PLUGIN_TOKENS = 1_000  # classes of the stand-in for an external network
 
