@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +53,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/wordloom-{context.applicationId}"
 
 
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that are given out inside, for ``drop_paths`` when nothing reads them any more."""
+    _RECORDS.append([])
+    try:
+        yield _RECORDS[-1]
+    finally:
+        _RECORDS.pop()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _RECORDS:
+        _RECORDS[-1].append(path)
+    return path
 
 
 def durable(df: DataFrame, name: str = "table") -> DataFrame:
@@ -69,17 +87,20 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, columns: list[str], name: str = "buckets", partition_by: str | None = None) -> DataFrame:
+def bucketed(
+    df: DataFrame, columns: list[str], name: str = "buckets", partition_by: str | None = None, placed: bool = False
+) -> DataFrame:
     """Write ``df`` as a table bucketed by ``columns`` in the shared folder and read it back.
 
     Joins and groupings on exactly these columns then leave the table where it is; only the other
-    side is shuffled. There are as many buckets as shuffle partitions, one file each.
+    side is shuffled. There are as many buckets as shuffle partitions, one file each. ``placed`` says
+    that the rows lie by these columns already.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_path(spark, name)
     table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, *columns).write.bucketBy(buckets, *columns).sortBy(*columns)
+    writer = (df if placed else df.repartition(buckets, *columns)).write.bucketBy(buckets, *columns).sortBy(*columns)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.option("path", path).saveAsTable(table)
@@ -88,8 +109,13 @@ def bucketed(df: DataFrame, columns: list[str], name: str = "buckets", partition
 
 def drop_tables(spark: SparkSession) -> None:
     """Delete every table that this application has written to the shared folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_paths(spark, [shared_dir(spark)])
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
