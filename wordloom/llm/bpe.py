@@ -8,6 +8,8 @@ cache of bounded size. A tokenizer file is only read, never trained.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 from collections.abc import Callable, Iterator
 
@@ -214,11 +216,21 @@ class Bpe:
 _MODELS: dict[tuple, object] = {}
 
 
+def release_memory() -> None:
+    """Give back what an operator that ran in this worker before has freed; only glibc needs the call."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def held(kind: Callable, *arguments) -> object:
     """One model per Python worker: tasks that reuse the worker find it, and its cache, again."""
     key = (kind, *arguments)
     if key not in _MODELS:
         _MODELS.clear()
+        release_memory()
         _MODELS[key] = kind(*arguments)
     return _MODELS[key]
 

@@ -29,7 +29,8 @@ OPEN_WINDOWS = 32
 SMALL_GAP = 16
 MERGED_PARTITIONS = 256
 END_ID = 1
-CACHE_WORDS = 600_000
+CACHE_WORDS = 700_000
+CACHE_PIECES = 40_000  # pieces of new words; words that come again need none
 # The published pattern of the lower-case tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
@@ -49,12 +50,11 @@ class WordIds:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        self.bpe = Bpe(path, cache_words)
+        self.bpe = Bpe(path, CACHE_PIECES)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.pattern = regex.compile(WORD_PATTERN + r"|\n")
-        self.bpe.cache_words = cache_words
         self.cache_words, self.cache = cache_words, {}
 
     def _learn(self, words: list[bytes]) -> None:
