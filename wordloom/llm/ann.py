@@ -2,8 +2,8 @@
 
 A unit vector is turned by a fixed random rotation and kept as the signs of its coordinates, packed
 into bits, with one correction: how much of the vector its code holds. From it comes an unbiased
-estimate of every inner product and a bound on its error; only vectors whose upper bound reaches the
-k-th best lower bound are compared exactly. Queries and vectors meet in blocks of bounded size, and each
+estimate of every inner product and a bound on its error; the vectors of the best estimates are compared exactly,
+and then only those whose upper bound reaches the k-th best of them. Queries and vectors meet in blocks of bounded size, and each
 pair of blocks sends on its k best.
 """
 
@@ -20,8 +20,9 @@ from wordloom.session import durable
 
 TOP = 5
 QUERY_ROWS = 1024
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 4096
 DEVIATIONS = 3.0  # width of the error bound
+_FIRST_LOOK = 32
 SEED = 20
 _PAIRS = 1 << 22
 
@@ -65,14 +66,22 @@ def search_blocks(
         part = queries[start : start + step]
         estimate, width = bounds(part, codes, held, turn)
         own = query_rows[start : start + step, None] == rows[None, :]
-        low = np.where(own, -np.inf, estimate - width)
-        if low.shape[1] > top:
-            least = np.partition(low, low.shape[1] - top, axis=1)[:, low.shape[1] - top]
+        estimate[own] = -np.inf
+        n, first = estimate.shape[1], max(_FIRST_LOOK, 2 * top)
+        if n > first:
+            # The exact scores of the most promising vectors give a threshold that is no guess.
+            ahead = np.argpartition(estimate, n - first, axis=1)[:, n - first :]
+            seen = cosine(np.repeat(part, first, axis=0), vectors[ahead.ravel()]).reshape(len(part), first)
+            seen[np.take_along_axis(own, ahead, axis=1)] = -np.inf
+            least = np.partition(seen, first - top, axis=1)[:, first - top]
         else:
             least = np.full(len(part), -np.inf)
         # Single precision may round an estimate a little.
         q, v = np.nonzero((estimate + width + 1e-5 >= least[:, None]) & ~own)
-        score = np.concatenate([np.zeros(0), *(cosine(part[q[i : i + _PAIRS // 64]], vectors[v[i : i + _PAIRS // 64]]) for i in range(0, len(q), _PAIRS // 64))])
+        score = np.zeros(len(q))
+        for i in range(0, len(q), _PAIRS // 64):
+            some = slice(i, i + _PAIRS // 64)
+            score[some] = cosine(part[q[some]], vectors[v[some]])
         order = np.lexsort((rows[v], ids[v], -score, q))
         q, v, score = q[order], v[order], score[order]
         rank = np.arange(len(q)) - np.searchsorted(q, q)
