@@ -141,14 +141,18 @@ class Matcher:
 
     def candidate_windows(self, texts: pa.ChunkedArray, repeated: np.ndarray) -> Iterator[tuple[Hashed, np.ndarray, np.ndarray]]:
         for part in self.parts(texts, 2):
-            at, hashes = self.anchors(part)
-            slot = np.searchsorted(repeated, hashes)
-            hit = np.zeros(len(at), dtype=bool)
-            inside = slot < len(repeated)
-            hit[inside] = repeated[slot[inside]] == hashes[inside]
-            starts = self.candidates(part, at[hit])
+            starts = self.starts(part, repeated)
             yield part, starts, self.windows(part, starts)
 
+    def starts(self, part: Hashed, repeated: np.ndarray) -> np.ndarray:
+        """Starts of the candidate windows around repeated anchors."""
+        at, hashes = self.anchors(part)
+        slot = np.searchsorted(repeated, hashes)
+        hit = np.zeros(len(at), dtype=bool)
+        inside = slot < len(repeated)
+        hit[inside] = repeated[slot[inside]] == hashes[inside]
+        return self.candidates(part, at[hit])
+
 
 def _distinct_pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct rows, how often each occurs, and each input row's place among them."""
@@ -255,14 +259,9 @@ def dedup_substrings(df: DataFrame, text: str = "text", window: int = WINDOW, si
         del found, distinct
         totals, lost, kept, at = [], [], [], 0
         for part in matcher.parts(texts, 1):
-            count = 0
-            hit, hashes = matcher.anchors(part)
-            slot = np.minimum(np.searchsorted(repeated, hashes), max(0, len(repeated) - 1))
-            known = repeated[slot] == hashes if len(repeated) else np.zeros(len(hit), bool)
-            starts = matcher.candidates(part, hit[known])
-            count = len(starts)
-            removed = matcher.removed(part, starts[gone[at : at + count]])
-            at += count
+            starts = matcher.starts(part, repeated)
+            removed = matcher.removed(part, starts[gone[at : at + len(starts)]])
+            at += len(starts)
             words = part.words
             for i in range(len(words.bounds) - 1):
                 lo, hi = words.first[i], words.first[i + 1]
