@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.lookups import fits_broadcast
 from wordloom.session import durable
 
 SCOPE = 160  # code points between two parts of one credential
 _BUCKET = 512
+SENT_BYTES = 16 << 20  # of span lists, the most that is broadcast
 
 # Kinds in their order with pattern, group that is measured, and its least length. A run
 # that has its least length in the pattern is the same as one that is measured afterwards.
@@ -131,6 +133,10 @@ def find_secrets(df: DataFrame, text: str = "text", scope: int = SCOPE) -> DataF
         .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("secret_spans"))
     )
+    # Few documents hold spans: if they measure little, the texts need not move.
+    listed = durable(listed, "listed")
+    if fits_broadcast(listed, ["row", "secret_spans"], SENT_BYTES):
+        listed = F.broadcast(listed)
     none = F.array().cast(listed.schema["secret_spans"].dataType)
     return found.select("row", "held").join(listed, "row", "left").select(
         *[F.col(f"held.`{c}`") for c in others], F.coalesce("secret_spans", none).alias("secret_spans")

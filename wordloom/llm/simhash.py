@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from wordloom.llm.components import components
 from wordloom.llm.words import mix, slices
-from wordloom.session import durable
+from wordloom.operators.lookups import fits_broadcast
+from wordloom.session import bucketed, durable
 
 SHINGLE = 3
 BUDGET = 2
@@ -32,6 +33,7 @@ HOT_KEY = 1 << 14
 _MAX_SPLIT_BITS = 10
 _PAIRS = 1 << 20
 _SMALL = 64
+SENT_BYTES = 16 << 20  # of ids, the most that is broadcast
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -358,22 +360,28 @@ def near_duplicates(
 
 
 def shingle_sets(df: DataFrame, text: str, shingle: int, out: str = "shingles") -> DataFrame:
-    """Add ``out``: the distinct hashes of the text's ``shingle``-word runs; drops ``text``."""
+    """Add ``out``: the distinct 32-bit hashes of the text's ``shingle``-word runs; drops ``text``."""
     kept = [c for c in df.columns if c not in (text, out)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                sets = [np.unique(shingle_hashes(w, shingle)) for w in lower_words(part.column(text))]
+                sets = [np.unique(shingle_hashes(w, shingle).astype(np.uint32)) for w in lower_words(part.column(text))]
                 ends = np.cumsum([0, *map(len, sets)])
-                values = _signed(np.concatenate([np.zeros(0, np.uint64), *sets]))
+                values = np.concatenate([np.zeros(0, np.uint32), *sets]).view(np.int32)
                 arrays = [*(part.column(c) for c in kept), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*kept, out])
 
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.LongType()))])
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.IntegerType()))])
     return df.mapInArrow(run, schema)
 
 
+def sent_if_small(table: DataFrame, columns: list[str], limit: int = SENT_BYTES) -> DataFrame:
+    """``table``, written, with a broadcast hint if its measured size is below ``limit``; otherwise it is shuffled."""
+    held = durable(table.select(*columns), "side")
+    return F.broadcast(held) if fits_broadcast(held, columns, limit) else held
+
+
 def similar_groups(
     df: DataFrame,
     text: str = "text",
@@ -382,13 +390,13 @@ def similar_groups(
     shingle: int = 5,
     hashed_shingle: int = 2,
     budget: int = 4,
-    lanes: int = 3,
+    lanes: int = 6,
 ) -> DataFrame:
     """``(key, component_id)`` of every key that is in a group of near-duplicates, with its smallest key.
 
     Fingerprints of ``hashed_shingle``-word runs in several lanes propose links, those within ``budget`` bits;
-    a link counts if the Jaccard similarity of the texts' distinct ``shingle``-word runs reaches
-    ``similarity``. Shorter runs give fingerprints that a changed word moves less. Of many near texts the
+    a link counts if the Jaccard similarity of the texts' distinct ``shingle``-word runs, compared by
+    32-bit hashes, reaches ``similarity``. Shorter runs give fingerprints that a changed word moves less. Of many near texts the
     closest links that connect them are compared, never all pairs.
 
     Rows that repeat a key are one document; the link of a document is judged on one of its rows.
@@ -406,9 +414,13 @@ def similar_groups(
         both = equal.unionByName(linked).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         near = both if near is None else near.unionByName(both)
     pairs = durable(near.distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
+    wanted = sent_if_small(pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct(), ["_key"])
     texts = known.join(wanted, "_key", "left_semi")
-    sets = durable(shingle_sets(texts, "_text", shingle).groupBy("_key").agg(F.max_by("shingles", F.size("shingles")).alias("s")), "shingles")
+    # Dealt once by key, for the grouping and for both joins.
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = shingle_sets(texts, "_text", shingle).repartition(buckets, "_key")
+    held = dealt.groupBy("_key").agg(F.max_by("shingles", F.size("shingles")).alias("s"))
+    sets = bucketed(held, ["_key"], "shingles", placed=True)
     compared = pairs.join(sets.select(F.col("_key").alias("a"), F.col("s").alias("s1")), "a").join(
         sets.select(F.col("_key").alias("b"), F.col("s").alias("s2")), "b"
     )
