@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordloom.llm.bpe import release_memory
 from wordloom.llm.words import Hasher, find_words, slices
 from wordloom.session import durable, new_path
 
@@ -238,7 +239,9 @@ def dedup_substrings(df: DataFrame, text: str = "text", window: int = WINDOW, si
         matcher = Matcher(cover, buckets)
         texts = table.column("held_text")
         found = [matcher.anchors(p)[1] for p in matcher.parts(texts, 1)]
-        return matcher.send(table.column("part")[0].as_py(), np.unique(np.concatenate([np.zeros(0, np.uint64), *found])))
+        sent = matcher.send(table.column("part")[0].as_py(), np.unique(np.concatenate([np.zeros(0, np.uint64), *found])))
+        release_memory()  # the worker outlives the group
+        return sent
 
     def second(table: pa.Table, answers: pa.Table) -> pa.Table:
         matcher = Matcher(cover, buckets)
@@ -246,7 +249,10 @@ def dedup_substrings(df: DataFrame, text: str = "text", window: int = WINDOW, si
         repeated = matcher.repeated_anchors(texts, _replies(answers, 1))
         found = [h for _, _, h in matcher.candidate_windows(texts, repeated)]
         hashes = _distinct_pairs(np.concatenate([np.zeros((0, 2), np.uint64), *found]))[0]
-        return matcher.send(table.column("part")[0].as_py(), hashes)
+        sent = matcher.send(table.column("part")[0].as_py(), hashes)
+        del found, hashes
+        release_memory()
+        return sent
 
     def third(table: pa.Table, answers: pa.Table) -> pa.Table:
         matcher = Matcher(cover, buckets)
@@ -271,7 +277,7 @@ def dedup_substrings(df: DataFrame, text: str = "text", window: int = WINDOW, si
                 kept.append(_kept_text(data, keep, (words.start[lo:hi], base), single_space))
                 totals.append(int(hi - lo))
                 lost.append(int(hi - lo - keep.sum()))
-        return pa.table(
+        done = pa.table(
             {
                 "held_row": table.column("held_row"),
                 "n_words": pa.array(totals, pa.int64()),
@@ -279,6 +285,9 @@ def dedup_substrings(df: DataFrame, text: str = "text", window: int = WINDOW, si
                 "kept": pa.array(kept, pa.string()),
             }
         )
+        del kept, totals, lost, gone, repeated
+        release_memory()
+        return done
 
     block, mask = "bucket long, part long, block binary", "bucket long, part long, mask binary"
     anchors = slim.groupBy("part").applyInArrow(first, block)
