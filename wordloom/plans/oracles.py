@@ -271,9 +271,9 @@ def answers() -> str:
     WITH routed AS MATERIALIZED (SELECT * FROM {routed}), {TRAIN_GRAMS}, {DRAW_TABLES},
     {ngram_loop(20, to("baseline"))},
     {scored_tables(15_000, "1")}, {scored_loop(20, to("inhouse"), "s", "1")},
-    {scored_tables(20_000, "2")}, {scored_loop(20, to("glove"), "g", "2")}
+    {scored_tables(20_000, "2")}, {scored_loop(20, to("glove"), "q", "2")}
     SELECT *, 'baseline' AS model_used FROM ({drawn_text("r", 20)})
-    UNION ALL {scored("s", "inhouse")} UNION ALL {scored("g", "glove")}
+    UNION ALL {scored("s", "inhouse")} UNION ALL {scored("q", "glove")}
     UNION ALL
     SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, n) END, 'gpt2'
     FROM (SELECT request_id, text, n, regexp_extract_all(text, '[^\s]+')[-1] AS w FROM {to("gpt2")})"""
