@@ -6,10 +6,13 @@ fingerprints within the budget some choice of blocks agrees exactly. So there is
 each choice, with those blocks on top: there both nodes are the same, which makes the top of the
 trie a key that Spark can shuffle by. A key with very many fingerprints is split further into pairs
 of its sub-nodes. Each task keeps only links that join different groups, never all pairs.
+
+Groups of texts that share most of their shingles (``similar_groups``) are found exactly, without fingerprints.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,6 +36,10 @@ HOT_KEY = 1 << 14
 _MAX_SPLIT_BITS = 10
 _PAIRS = 1 << 20
 _SMALL = 64
+SAMPLED = 1 << 13  # documents whose shingles tell which ones are frequent
+FREQUENT = 1 << 17  # the most shingles that are ordered by their count
+HOT_SHINGLE = 1 << 13
+_SEEN = 1 << 20
 SENT_BYTES = 16 << 20  # of ids, the most that is broadcast
 
 
@@ -310,20 +317,23 @@ def _split(orders: Orders, hot_key: int, batches: Iterator[pa.RecordBatch]) -> I
                         )
 
 
-def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+def _whole_units(
+    batches: Iterator[pa.RecordBatch],
+    names: tuple[str, ...] = ("fp", "number", "key", "node", "bits"),
+    unit: tuple[str, ...] = ("number", "key", "node"),
+) -> Iterator[dict[str, np.ndarray]]:
     """Arrays of rows that never cut a unit; ``unit`` numbers the units."""
     waiting: list[dict[str, np.ndarray]] = []
-    names = ("fp", "number", "key", "node", "bits")
 
     def changes(rows: dict[str, np.ndarray]) -> np.ndarray:
-        return np.logical_or.reduce([rows[c][1:] != rows[c][:-1] for c in ("number", "key", "node")])
+        return np.logical_or.reduce([rows[c][1:] != rows[c][:-1] for c in unit])
 
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
         waiting.append(rows)
-        if all(rows[c][0] == waiting[0][c][0] and rows[c][-1] == waiting[0][c][0] for c in ("number", "key", "node")):
+        if all(rows[c][0] == waiting[0][c][0] and rows[c][-1] == waiting[0][c][0] for c in unit):
             continue
         carried = {c: np.concatenate([w[c] for w in waiting]) for c in names}
         last = int(np.flatnonzero(changes(carried))[-1]) + 1
@@ -333,7 +343,7 @@ def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nda
         waiting = [{c: v[last:] for c, v in carried.items()}]
     if waiting:
         rest = {c: np.concatenate([w[c] for w in waiting]) for c in names}
-        if len(rest["fp"]):
+        if len(rest[names[0]]):
             rest["unit"] = np.concatenate([[0], np.cumsum(changes(rest))])
             yield rest
 
@@ -359,21 +369,191 @@ def near_duplicates(
     return marked.join(by_fp, "_fp").select(F.col("_key").alias(key), digits, "component_id")
 
 
+def _name(own: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit digests of a set of shingles."""
+    digest = xxhash.xxh128_intdigest(own.tobytes())
+    return digest & ((1 << 64) - 1), digest >> 64
+
+
 def shingle_sets(df: DataFrame, text: str, shingle: int, out: str = "shingles") -> DataFrame:
-    """Add ``out``: the distinct 32-bit hashes of the text's ``shingle``-word runs; drops ``text``."""
-    kept = [c for c in df.columns if c not in (text, out)]
+    """``(name, out)``: the digest and the distinct 32-bit hashes of each text's ``shingle``-word runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                sets = [np.unique(shingle_hashes(w, shingle).astype(np.uint32)) for w in lower_words(part.column(text))]
+                whole = [np.unique(shingle_hashes(w, shingle)) for w in lower_words(part.column(text))]
+                names = _signed(np.array([_name(own)[0] for own in whole], dtype=np.uint64))
+                sets = [np.unique(own.astype(np.uint32)) for own in whole]
                 ends = np.cumsum([0, *map(len, sets)])
                 values = np.concatenate([np.zeros(0, np.uint32), *sets]).view(np.int32)
-                arrays = [*(part.column(c) for c in kept), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, out])
+                arrays = [pa.array(names), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["name", out])
+
+    return df.select(text).mapInArrow(run, f"name long, {out} array<int>")
+
+
+def frequent_shingles(df: DataFrame, text: str, key: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents of a sample have, sorted, and in how many. They only set an order."""
+    step = max(1, df.count() // SAMPLED)
+    sample = df.filter(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                sets = [np.unique(shingle_hashes(w, shingle)) for w in lower_words(part.column(text))]
+                values = pa.array(_signed(np.concatenate([np.zeros(0, np.uint64), *sets])))
+                yield pa.RecordBatch.from_arrays([values], names=["shingle"])
+
+    counts = sample.mapInArrow(run, "shingle long").groupBy("shingle").count().filter("count > 2")
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
+    found = np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.array([r[1] for r in rows], dtype=np.int64)[order]
 
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(run, schema)
+
+def prefix_size(size: int, similarity: float) -> int:
+    """Two sets of at least this similarity share one of their first ``prefix_size`` members, in any one order."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
+
+
+def shingle_prefixes(
+    df: DataFrame, text: str, key: str, similarity: float, shingle: int, often: tuple[np.ndarray, np.ndarray]
+) -> DataFrame:
+    """``(key, name, rest, size, prefix)``: digests, number and first members of each text's set of shingles.
+
+    The order of the members is by their count in ``often``, the rare ones first. A set that the same task
+    has met before has no prefix.
+    """
+    hashes, counts = often
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            for part in slices(batch, text):
+                names, sizes, prefixes = [], [], []
+                for words in lower_words(part.column(text)):
+                    own = np.unique(shingle_hashes(words, shingle))
+                    name = _name(own)
+                    names.append(name)
+                    sizes.append(len(own))
+                    if name in seen or not len(own):
+                        prefixes.append(own[:0])
+                        continue
+                    if len(seen) >= _SEEN:
+                        seen.clear()
+                    seen.add(name)
+                    if len(hashes):
+                        at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                        own = own[np.argsort(np.where(hashes[at] == own, counts[at], 0), kind="stable")]
+                    prefixes.append(own[: prefix_size(len(own), similarity)])
+                digests = np.array(names, dtype=np.uint64).reshape(-1, 2)
+                ends = np.cumsum([0, *map(len, prefixes)])
+                values = pa.array(_signed(np.concatenate([np.zeros(0, np.uint64), *prefixes])))
+                arrays = [
+                    part.column(key),
+                    *(pa.array(_signed(np.ascontiguousarray(digests[:, i]))) for i in (0, 1)),
+                    pa.array(sizes, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=[key, "name", "rest", "size", "prefix"])
+
+    added = [T.StructField(n, T.LongType()) for n in ("name", "rest")]
+    added += [T.StructField("size", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
+    return df.select(key, text).mapInArrow(run, T.StructType([df.schema[key], *added]))
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``shingle`` those whose shingle is in several rows."""
+    last, matched = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks().to_batches()[0]
+        shingle = table.column(0).to_numpy()
+        same = shingle[1:] == shingle[:-1]
+        keep = np.zeros(len(shingle), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        keep[0] |= matched
+        yield table.slice(0, len(shingle) - 1).filter(pa.array(keep[:-1]))
+        last, matched = table.slice(len(shingle) - 1), bool(keep[-1])
+    if matched:
+        yield last
+
+
+_SHARED = ("shingle", "low", "high", "block", "name", "place", "size", "root")
+
+
+def _open_pairs(rows: dict[str, np.ndarray], similarity: float, turn: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Names of pairs in a unit, of different roots, that may reach ``similarity``.
+
+    A pair passes at the first shingle that both prefixes have, if what comes behind it in both sets is
+    enough. Without ``turn`` all pairs, otherwise only neighbours in an order of that turn.
+    """
+    by = rows["size"] if turn is None else mix(rows["name"].view(np.uint64) ^ mix(rows["shingle"].view(np.uint64) + np.uint64(turn)))
+    order = np.lexsort((rows["name"], by, rows["unit"]))
+    rows = {c: v[order] for c, v in rows.items()}
+    new = np.ones(len(order), bool)
+    new[1:] = (rows["unit"][1:] != rows["unit"][:-1]) | (rows["name"][1:] != rows["name"][:-1])
+    rows = {c: v[new] for c, v in rows.items()}
+    unit, name, size, root = (rows[c] for c in ("unit", "name", "size", "root"))
+    size, left = size.astype(np.int64), size.astype(np.int64) - rows["place"]
+    share = similarity / (1 + similarity)
+
+    def fit(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        good = (root[i] != root[j]) & (np.minimum(left[i], left[j]) >= share * (size[i] + size[j]) - 1e-9)
+        good &= (rows["low"][i] == rows["high"][i]) | (rows["block"][i] != rows["block"][j])
+        return name[i[good]], name[j[good]]
+
+    if turn is not None:
+        i = np.flatnonzero(unit[1:] == unit[:-1])
+        yield fit(i, i + 1)
+        return
+    most = np.floor(size / similarity + 1e-9).astype(np.int64)
+    stop = np.searchsorted((unit << 32) + size, (unit << 32) + most, side="right")
+    here = np.arange(len(unit))
+    ends = np.cumsum(stop - here - 1)
+    start = 0
+    while start < len(unit):
+        to = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _PAIRS, side="right")))
+        n = (stop - here - 1)[start:to]
+        i = np.repeat(here[start:to], n)
+        yield fit(i, i + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        start = to
+
+
+def open_pairs(
+    shared: DataFrame, roots: DataFrame | None, similarity: float, turn: int | None = None, hot: int = HOT_SHINGLE
+) -> DataFrame:
+    """``(a, b)``: names that share a member of their prefixes, may be similar and have different roots.
+
+    A shingle in more than ``hot`` prefixes is dealt to pairs of blocks (in a turn to blocks), so that no task
+    has all its rows.
+    """
+    rows = shared.withColumn("root", F.col("name"))
+    if roots is not None:
+        known = sent_if_small(roots.select(F.col("node").alias("name"), F.col("root").alias("_root")), ["name", "_root"])
+        rows = shared.join(known, "name", "left").withColumn("root", F.coalesce("_root", "name"))
+    zero = F.lit(0)
+    placed = rows.select("shingle", zero.alias("low"), zero.alias("high"), zero.alias("block"), *_SHARED[4:])
+    counts = durable(shared.groupBy("shingle").count().filter(F.col("count") > hot), "hot-shingles")
+    if not counts.isEmpty():
+        cold = placed.join(counts, "shingle", "left_anti").select(*_SHARED)
+        blocks = rows.join(counts, "shingle").withColumn("_n", F.ceil(F.col("count") / hot).cast("int"))
+        blocks = blocks.withColumn("block", F.pmod(F.xxhash64("name", F.lit(turn or 0)), F.col("_n")).cast("int"))
+        other = F.col("block") if turn is not None else F.explode(F.sequence(zero, F.col("_n") - 1))
+        blocks = blocks.withColumn("_other", other)
+        blocks = blocks.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")})
+        placed = cold.unionByName(blocks.select(*_SHARED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit_rows in _whole_units(batches, _SHARED, _SHARED[:3]):
+            for a, b in _open_pairs(unit_rows, similarity, turn):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    unit = list(_SHARED[:3])
+    return placed.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "a long, b long").distinct()
 
 
 def sent_if_small(table: DataFrame, columns: list[str], limit: int = SENT_BYTES) -> DataFrame:
@@ -388,43 +568,60 @@ def similar_groups(
     key: str = "doc_id",
     similarity: float = 0.8,
     shingle: int = 5,
-    hashed_shingle: int = 2,
-    budget: int = 4,
-    lanes: int = 6,
+    hot: int = HOT_SHINGLE,
 ) -> DataFrame:
     """``(key, component_id)`` of every key that is in a group of near-duplicates, with its smallest key.
 
-    Fingerprints of ``hashed_shingle``-word runs in several lanes propose links, those within ``budget`` bits;
-    a link counts if the Jaccard similarity of the texts' distinct ``shingle``-word runs, compared by
-    32-bit hashes, reaches ``similarity``. Shorter runs give fingerprints that a changed word moves less. Of many near texts the
-    closest links that connect them are compared, never all pairs.
+    Two texts are near-duplicates if the Jaccard similarity of their distinct ``shingle``-word runs, compared by
+    32-bit hashes, reaches ``similarity``; groups are what such pairs connect. No pair is lost: in one order
+    of all shingles, two sets that similar share one of their first members (``prefix_size``), and
+    every pair that does is compared unless its two texts are in one group by compared links already. Texts with
+    the same set are one from the start. First, neighbours in turns of random orders are compared, as long
+    as most of them are similar, so that large groups don't need all their pairs.
 
-    Rows that repeat a key are one document; the link of a document is judged on one of its rows.
+    Rows that repeat a key are one document, which has the links of all its rows.
     NULL keys are in no group. NULL and empty texts are near-duplicates of each other.
     """
     known = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    marked = durable(fingerprints(known, "_text", hashed_shingle, "_fps", lanes).drop("_text"), "fingerprints")
-    near = None
-    for lane in range(lanes):
-        own = marked.select("_key", F.col("_fps")[lane].alias("_fp")) if lanes > 1 else marked.select("_key", F.col("_fps").alias("_fp"))
-        nodes = durable(own.groupBy("_fp").agg(F.min("_key").alias("_least")), "nodes")
-        equal = own.join(nodes, "_fp").select(F.col("_least").alias("a"), F.col("_key").alias("b"))
-        ends = [nodes.select(F.col("_fp").alias(c), F.col("_least").alias(f"_{c}")) for c in ("a", "b")]
-        linked = links(nodes, budget, "_fp").join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-        both = equal.unionByName(linked).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        near = both if near is None else near.unionByName(both)
-    pairs = durable(near.distinct(), "pairs")
-    wanted = sent_if_small(pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct(), ["_key"])
-    texts = known.join(wanted, "_key", "left_semi")
-    # Dealt once by key, for the grouping and for both joins.
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = shingle_sets(texts, "_text", shingle).repartition(buckets, "_key")
-    held = dealt.groupBy("_key").agg(F.max_by("shingles", F.size("shingles")).alias("s"))
-    sets = bucketed(held, ["_key"], "shingles", placed=True)
-    compared = pairs.join(sets.select(F.col("_key").alias("a"), F.col("s").alias("s1")), "a").join(
-        sets.select(F.col("_key").alias("b"), F.col("s").alias("s2")), "b"
-    )
-    shared = F.size(F.array_intersect("s1", "s2"))
-    union = F.size("s1") + F.size("s2") - shared
-    alike = compared.filter(shared >= F.lit(similarity) * union).select("a", "b")
-    return components(alike).select(F.col("node").alias(key), F.col("root").alias("component_id"))
+    often = frequent_shingles(known, "_text", "_key", shingle)
+    marked = durable(shingle_prefixes(known, "_text", "_key", similarity, shingle, often), "prefixes")
+    nodes = durable(marked.groupBy("name", "rest").agg(F.min("_key").alias("_least")), "nodes")
+    members = marked.select("name", "size", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "name", "place", "size")
+    dealt = members.repartition("shingle").sortWithinPartitions("shingle")
+    shared = durable(dealt.mapInArrow(_repeated, members.schema), "shared")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        # A pair's first end is either of the two, so that a text with very many pairs isn't one side of all.
+        swap = F.xxhash64("a", "b") % 2 == 0
+        turned = pairs.select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("b"))
+        names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+        wanted = sent_if_small(nodes.join(names, "name", "left_semi").select(F.col("_least").alias("_key")).distinct(), ["_key"])
+        made = shingle_sets(known.join(wanted, "_key", "left_semi"), "_text", shingle).groupBy("name").agg(F.first("shingles").alias("s"))
+        sets = bucketed(made, ["name"], "shingles")
+        compared = turned.join(sets.select(F.col("name").alias("a"), F.col("s").alias("s1")), "a").join(
+            sets.select(F.col("name").alias("b"), F.col("s").alias("s2")), "b"
+        )
+        both = F.size(F.array_intersect("s1", "s2"))
+        union = F.size("s1") + F.size("s2") - both
+        return durable(compared.filter(both >= F.lit(similarity) * union).select("a", "b"), "alike")
+
+    found, roots, turn = None, None, 0
+    while True:
+        pairs = durable(open_pairs(shared, roots, similarity, turn, hot), "pairs")
+        compared, right = pairs.count(), 0
+        if compared:
+            new = alike(pairs)
+            right = new.count()
+        if right:
+            found = new if found is None else found.unionByName(new)
+        if turn is None:
+            break
+        if right:
+            roots = components(found)
+        turn = turn + 1 if 2 * right > compared else None
+    ends = ["name", "rest"]
+    links_ = marked.select("_key", *ends).join(nodes, ends).select(F.col("_least").alias("a"), F.col("_key").alias("b"))
+    if found is not None:
+        first, second = (nodes.select(F.col("name").alias(c), F.col("_least").alias(f"_{c}")) for c in ("a", "b"))
+        links_ = links_.unionByName(found.join(first, "a").join(second, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    return components(links_.filter("a <> b")).select(F.col("node").alias(key), F.col("root").alias("component_id"))
