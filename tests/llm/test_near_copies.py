@@ -75,3 +75,27 @@ def test_repeated_and_empty_rows(spark):
     rows = [(1, "one two"), (1, long), (2, long + " x"), (3, None), (4, " "), (5, "other"), (6, "One  Two")]
     assert found(spark, rows) == {1: 1, 2: 1, 6: 1, 3: 3, 4: 3}
     assert found(spark, [(None, long), (1, long)]) == {} == found(spark, [])
+
+
+@pytest.mark.parametrize("change", ["scattered", "appended", "cut", "block"])
+def test_copies_at_the_threshold(spark, change):
+    """Copies that are 0.8 to 0.9 alike, all of which must be found."""
+    chance, rows = random.Random(change), []
+    words = [f"w{i}" for i in range(5000)]
+    while len(rows) < 160:
+        text = [chance.choice(words) for _ in range(chance.randint(120, 300))]
+        copy, share = list(text), chance.uniform(0.05, 0.24)
+        if change == "scattered":
+            for _ in range(max(1, int(len(text) * share / 10))):
+                copy[chance.randrange(len(copy))] = chance.choice(words)
+        elif change == "appended":
+            copy += [chance.choice(words) for _ in range(int(len(text) * share))]
+        elif change == "cut":
+            del copy[: int(len(text) * share * 0.8)]
+        else:
+            size = int(len(text) * share / 2)
+            copy[20 : 20 + size] = [chance.choice(words) for _ in range(size)]
+        a, b = runs(" ".join(text)), runs(" ".join(copy))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.9:
+            rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(copy))]
+    assert found(spark, rows) == {k: k - k % 2 for k, _ in rows}
