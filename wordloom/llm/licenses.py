@@ -22,18 +22,18 @@ from wordloom.llm.words import slices
 # The words a base phrase consists of, and its label.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# Label, name as it is written in words (a pattern), and a word that it must contain.
+# Label, name as it is written in words (a pattern), and words of which every text that fits has one.
 NAMES = (
     ("mit", r"mit|expat", "mit expat"),
     ("apache-1.1", r"apache(?: software)? 1 1|apache(?: software)? version 1 1", "apache"),
     ("apache-2", r"apache(?: software)?(?: license)?(?: version)? 2(?: 0)?|asl 2(?: 0)?", "apache asl"),
-    ("gpl-2", r"(?:gnu )?(?:gpl|general public license)(?: version)? ?(?:v ?)?2(?: 0)?|gplv2", "gpl gnu gplv2 general"),
-    ("gpl-3", r"(?:gnu )?(?:gpl|general public license)(?: version)? ?(?:v ?)?3(?: 0)?|gplv3", "gpl gnu gplv3 general"),
+    ("gpl-2", r"(?:gnu )?(?:gpl|general public license)(?: version)? ?(?:v ?)?2(?: 0)?|gplv2", "gpl gnu gpl2 gplv gplv2 general"),
+    ("gpl-3", r"(?:gnu )?(?:gpl|general public license)(?: version)? ?(?:v ?)?3(?: 0)?|gplv3", "gpl gnu gpl3 gplv gplv3 general"),
     ("gpl", r"gnu gpl|gpl|gnu general public", "gpl gnu"),
-    ("lgpl-2.1", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?(?:v ?)?2 1|lgplv2 1", "lgpl lesser lgplv2"),
-    ("lgpl-3", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?(?:v ?)?3(?: 0)?|lgplv3", "lgpl lesser lgplv3"),
+    ("lgpl-2.1", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?(?:v ?)?2 1|lgplv2 1", "lgpl lesser lgpl2 lgplv lgplv2"),
+    ("lgpl-3", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?(?:v ?)?3(?: 0)?|lgplv3", "lgpl lesser lgpl3 lgplv lgplv3"),
     ("lgpl", r"gnu lgpl|lgpl|(?:gnu )?lesser general public|(?:gnu )?library general public", "lgpl lesser library"),
-    ("agpl-3", r"(?:gnu )?(?:agpl|affero general public license)(?: version)? ?(?:v ?)?3(?: 0)?|agplv3", "agpl affero agplv3"),
+    ("agpl-3", r"(?:gnu )?(?:agpl|affero general public license)(?: version)? ?(?:v ?)?3(?: 0)?|agplv3", "agpl affero agpl3 agplv agplv3"),
     ("agpl", r"gnu agpl|agpl|(?:gnu )?affero general public", "agpl affero"),
     ("gfdl", r"gfdl|(?:gnu )?free documentation", "gfdl documentation"),
     ("bsd-2-clause", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)", "bsd freebsd"),
@@ -46,8 +46,8 @@ NAMES = (
     ("mpl-1.1", r"(?:mpl|mozilla public(?: license)?)(?: version)? 1 1", "mpl mozilla"),
     ("mpl-2.0", r"(?:mpl|mozilla public(?: license)?)(?: version)? 2(?: 0)?", "mpl mozilla"),
     ("mpl", r"mpl|mozilla public", "mpl mozilla"),
-    ("epl-1.0", r"(?:epl|eclipse public(?: license)?)(?: version)? ?(?:v ?)?1(?: 0)?", "epl eclipse"),
-    ("epl-2.0", r"(?:epl|eclipse public(?: license)?)(?: version)? ?(?:v ?)?2(?: 0)?", "epl eclipse"),
+    ("epl-1.0", r"(?:epl|eclipse public(?: license)?)(?: version)? ?(?:v ?)?1(?: 0)?", "epl eclipse epl1 eplv eplv1"),
+    ("epl-2.0", r"(?:epl|eclipse public(?: license)?)(?: version)? ?(?:v ?)?2(?: 0)?", "epl eclipse epl2 eplv eplv2"),
     ("cddl", r"cddl|common development and distribution", "cddl distribution"),
     ("cpl-1.0", r"common public", "common"),
     ("artistic-2.0", r"artistic(?: license)?(?: version)? 2(?: 0)?", "artistic"),
@@ -100,11 +100,11 @@ STATEMENTS = (
     ("gpl-3", r"gnu general public license version 3(?: 0)?", "gnu", 8, 0.95),
     ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 10, 1.0),
     ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain|is in the public domain", "domain", 7, 0.9),
-    ("cc0", r"to the extent possible under law .{0,60}waived all copyright", "waived", 8, 0.9),
+    ("cc0", r"to the extent possible under law .{0,60}waived all copyright", "extent", 8, 0.9),
     ("all-rights-reserved", r"all rights (?:are )?reserved", "reserved", 2, 0.5),
     ("copyright-notice", r"copyright (?:c )?(?:19|20)\d\d", "copyright", 1, 0.3),
     ("permissive", r"may be freely (?:copied|used|distributed)", "freely", 4, 0.5),
-    ("non-commercial", r"(?:for )?non ?commercial use only|not for commercial use", "commercial", 4, 0.7),
+    ("non-commercial", r"(?:for )?non ?commercial use only|not for commercial use", "commercial noncommercial", 4, 0.7),
 )
 
 _BREAK = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(128)) + bytes(range(128, 256))
