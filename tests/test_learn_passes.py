@@ -1,0 +1,17 @@
+import re
+from pathlib import Path
+
+from wordloom.plans import queries
+
+
+def test_training_sees_the_stated_examples(spark, sf, monkeypatch):
+    seen = {}
+
+    def train(examples, *_, **__):
+        seen["passes"] = examples.select("pass").distinct().count()
+
+    monkeypatch.setattr(queries, "_LEARNED", {})
+    monkeypatch.setattr(queries.learn, "train", train)
+    queries._learned(spark, sf)
+    stated = re.search(r"draw (\w+) examples of each text\s+\(`LEARN_PASSES`\)", (Path(__file__).parents[1] / "README.md").read_text())
+    assert stated.group(1) == "ten" and seen["passes"] == 10
