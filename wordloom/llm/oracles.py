@@ -80,4 +80,50 @@ SECRETS = f"""
            coalesce(string_agg({_SHOWN}, ',' ORDER BY start, kind) FILTER (WHERE kind IS NOT NULL), '') AS spans
     FROM documents LEFT JOIN every USING (doc_id) GROUP BY doc_id"""
 
-ORACLES = {"op2_substrings": SUBSTRINGS, "op3_warc": WARC, "op5_secrets": SECRETS}
+_FAILS = [
+    "n < 100",
+    "100 * distinct_words < 80 * n",
+    "100 * capitals > 10 * points",
+    "symbol",
+    "doc_id > first_id",
+]
+FILTER_AUDIT = f"""
+    WITH cut AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    told AS (
+        SELECT doc_id, part, len(w) AS n, len(list_distinct(w)) AS distinct_words, len(t) AS points,
+               len(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals, regexp_matches(t, '[#$%&*|]') AS symbol,
+               min(doc_id) OVER (PARTITION BY t) AS first_id FROM cut),
+    known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    judged AS (
+        SELECT part, [{", ".join(_FAILS)}] AS f, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+        FROM told LEFT JOIN known USING (doc_id)),
+    cells AS (
+        SELECT part, f, count(*) AS docs, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+        FROM judged GROUP BY part, f),
+    letters AS (SELECT unnest(range(1, 6)) AS l),
+    orders AS (
+        SELECT [a.l, b.l, c.l, d.l, e.l] AS o FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+    steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+    met AS (
+        SELECT part, o, step, docs, good, toxic, f[o[step]] AS fails,
+               len(list_filter(o[: step - 1], lambda i: f[i])) > 0 AS gone,
+               len(list_filter(f, lambda x: x)) AS failures
+        FROM cells, steps),
+    counted AS (
+        SELECT part, o, step, coalesce(sum(docs) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept,
+               coalesce(sum(docs) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+               coalesce(sum(docs) FILTER (WHERE gone AND fails), 0) AS redundant,
+               coalesce(sum(docs) FILTER (WHERE fails AND failures = 1), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost,
+               coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+        FROM met GROUP BY part, o, step)
+    SELECT part, array_to_string(list_transform(o, lambda i: chr(64 + i::INT)), '') AS filter_order, step::INT AS step,
+           kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+           unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+    FROM counted"""
+
+ORACLES = {"op2_substrings": SUBSTRINGS, "op3_warc": WARC, "op5_secrets": SECRETS, "op13_filter_audit": FILTER_AUDIT}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import ann, bpe, licenses, packing, quality, secrets, simhash, substrings, token_counts, warc
+from wordloom.llm import ann, bpe, filter_audit, licenses, packing, quality, secrets, simhash, substrings, token_counts, warc
 from wordloom.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -108,3 +108,11 @@ def op9_licenses(spark: SparkSession, sf: str) -> DataFrame:
 def op10_ann(spark: SparkSession, sf: str) -> DataFrame:
     """The five nearest of every vector whose id is divisible by 50."""
     return ann.nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Five filters in all their orders, for each language."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    failures = filter_audit.document_failures(docs, F.coalesce("lang", F.lit("")))
+    return filter_audit.audit(filter_audit.mask_cells(failures, _table(spark, sf, "labels")))
