@@ -126,4 +126,24 @@ FILTER_AUDIT = f"""
            (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
     FROM counted"""
 
-ORACLES = {"op2_substrings": SUBSTRINGS, "op3_warc": WARC, "op5_secrets": SECRETS, "op13_filter_audit": FILTER_AUDIT}
+_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+_TERMS = r"regexp_extract_all(translate(text, {u}, lower({u})), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(u=_UPPER)
+RANKED_SEARCH = f"""
+    WITH cut AS (SELECT doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+    sized AS (SELECT doc_id, w, len(w) AS n FROM cut WHERE len(w) > 0),
+    whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sized),
+    placed AS (SELECT doc_id, n, unnest(w) AS term FROM sized),
+    counted AS (SELECT doc_id, n, term, count(*) AS tf FROM placed GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+        FROM counted, whole GROUP BY term),
+    asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL),
+    scored AS (
+        SELECT item_id, doc_id,
+               sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+        FROM asked JOIN counted USING (term) JOIN weights USING (term), whole GROUP BY ALL)
+    SELECT item_id, (row_number() OVER best)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+    QUALIFY row_number() OVER best <= 50"""
+
+ORACLES = {"op12_ranked_search": RANKED_SEARCH, "op2_substrings": SUBSTRINGS, "op3_warc": WARC, "op5_secrets": SECRETS, "op13_filter_audit": FILTER_AUDIT}
