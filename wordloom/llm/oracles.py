@@ -126,6 +126,25 @@ FILTER_AUDIT = f"""
            (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
     FROM counted"""
 
+SUFFIX_DEDUP = """
+    WITH cut AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+    places AS (SELECT doc_id, h, n, unnest(range(n)) AS p FROM cut),
+    later AS (
+        SELECT doc_id, p FROM (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS s FROM places WHERE p + 100 <= n)
+        QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+    told AS (
+        SELECT doc_id, a.p, substr(h, 2 * a.p + 1, 2) AS byte,
+               coalesce(max(b.p) OVER (PARTITION BY doc_id ORDER BY a.p) > a.p - 100, false) AS gone
+        FROM places a LEFT JOIN (SELECT doc_id AS d, p FROM later) b ON d = doc_id AND b.p = a.p),
+    edged AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS edge FROM told),
+    kept AS (
+        SELECT doc_id, count(*) FILTER (WHERE gone) AS removed, count(*) FILTER (WHERE edge) AS spans,
+               string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT gone) AS left_hex
+        FROM edged GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+           sha256(unhex(coalesce(left_hex, ''))) AS kept_sha256
+    FROM cut LEFT JOIN kept USING (doc_id)"""
+
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 _TERMS = r"regexp_extract_all(translate(text, {u}, lower({u})), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(u=_UPPER)
 RANKED_SEARCH = f"""
@@ -146,4 +165,11 @@ RANKED_SEARCH = f"""
     WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
     QUALIFY row_number() OVER best <= 50"""
 
-ORACLES = {"op12_ranked_search": RANKED_SEARCH, "op2_substrings": SUBSTRINGS, "op3_warc": WARC, "op5_secrets": SECRETS, "op13_filter_audit": FILTER_AUDIT}
+ORACLES = {
+    "op2_substrings": SUBSTRINGS,
+    "op3_warc": WARC,
+    "op5_secrets": SECRETS,
+    "op11_suffix_dedup": SUFFIX_DEDUP,
+    "op12_ranked_search": RANKED_SEARCH,
+    "op13_filter_audit": FILTER_AUDIT,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import ann, bpe, filter_audit, licenses, packing, quality, ranked_search, secrets, simhash, substrings, token_counts, warc
+from wordloom.llm import ann, bpe, filter_audit, licenses, packing, quality, ranked_search, secrets, simhash, substrings, suffix_dedup, token_counts, warc
 from wordloom.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -110,6 +110,13 @@ def op10_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query
+def op11_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte strings of 100 or more that stand earlier, removed from all texts."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     """The 50 best documents for every benchmark item."""
