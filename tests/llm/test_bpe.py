@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +45,25 @@ def test_merges_are_leftmost_lowest():
     assert ids.tolist() == [3, 3, 4] and counts.tolist() == [2, 1]
 
 
+def test_long_pretokens():
+    """Runs without a space, alone and among many short ones."""
+    chance, model = random.Random(7), bpe.Bpe(PATH)
+    reference = Tokenizer.from_file(PATH)
+    letters = "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    texts = [letters, "a" * 30_000, "the" * 7_000, "é" * 5_000, " ".join(letters[i : i + 9] for i in range(0, 3000, 9)) + letters[:4000]]
+    for text, ids in zip(texts, model.encode(texts)):
+        assert np.frombuffer(ids, "<i4").tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_few_and_many_rows_agree(monkeypatch):
+    words = ["".join(random.Random(i).choices("etaoin", k=1 + i % 60)) for i in range(300)]
+    found = []
+    for few in (0, 8, 1000):
+        monkeypatch.setattr(bpe, "FEW_ROWS", few)
+        found.append([x for w in (words[:3], words) for x in bpe.Bpe(PATH).encode([" ".join(w)])])
+    assert found[0] == found[1] == found[2]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(df, PATH), PATH).count() == 0

@@ -43,7 +43,7 @@ def reference_ids(texts):
 
 def test_word_ids_equal_tokenizers(odd_texts):
     reference = Tokenizer.from_file(PATH)
-    model = packing.WordIds(PATH, cache_words=50)
+    model = packing.WordIds(PATH, cache_bytes=9000)
     for text in odd_texts:
         want = reference.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(model.encode([text or ""])[0], "<i4").tolist() == want

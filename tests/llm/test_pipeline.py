@@ -4,70 +4,75 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 import pytest
-from wordloom.llm import packing, simhash
+from pyspark.sql import functions as F
+from wordloom.llm import packing
 from wordloom.session import durable
 
 from .test_packing import check_pieces, reference_ids
 from .test_secrets import brute_force as secret_spans
+from .test_simhash import brute_components, brute_fingerprint
 from .test_substrings import brute_force as cut_words
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def runs(text, size=5):
-    words = re.findall(r"[^\x20\x09-\x0D]+", text.encode().lower().decode())
-    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
-
-
-def similarity(a, b):
-    return len(a & b) / len(a | b)
-
-
 @pytest.fixture(scope="module")
-def near(spark):
+def near():
     """Prose with groups of exact copies and of copies with a few changed words."""
     chance = random.Random(4)
     words = [f"word{i}" for i in range(3000)]
-    rows, groups = [], []
+    rows = []
     for _ in range(60):
         base = [chance.choice(words) for _ in range(chance.randint(100, 300))]
-        group = []
         for k in range(chance.choice([1, 2, 5])):
             copy = list(base)
             for _ in range(0 if k % 2 == 0 else chance.randint(1, max(1, len(base) // 100))):
                 copy[chance.randrange(len(copy))] = chance.choice(words)
-            group.append(len(rows))
             rows.append(" ".join(copy))
-        groups.append(group)
-    return rows, groups
-
-
-def test_near_copies(spark, near):
-    rows, groups = near
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(rows)] + [(None, rows[0], "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"] for r in pipeline.drop_near_copies(spark, docs, "").collect()}
-    sets = [runs(t) for t in rows]
-    assert None in kept and {g[0] for g in groups} <= kept
-    missed = 0
-    for group in groups:
-        for i in group[1:]:
-            alike = any(similarity(sets[i], sets[j]) >= 0.8 for j in group if j != i)
-            assert alike or i in kept
-            missed += alike and i in kept
-    assert missed <= 0.1 * sum(len(g) - 1 for g in groups), missed
-
-
-def test_groups_reach_the_similarity(spark, near):
-    rows, _ = near
-    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    sets = [runs(t) for t in rows]
-    members = {}
-    for r in simhash.similar_groups(docs).collect():
-        members.setdefault(r["component_id"], []).append(r["doc_id"])
-    assert members
-    for root, group in members.items():
-        assert root == min(group)
-        assert all(any(j != i and similarity(sets[i], sets[j]) >= 0.8 for j in group) for i in group)
+    return rows
+
+
+def near_docs(spark, rows):
+    return spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def groups_of(rows):
+    """The places of each group, the smallest id first and NULL last, by the operator's definition."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    fps = [brute_fingerprint(rows[i][1]) for i in order]
+    found = {}
+    for i, root in zip(order, brute_components(range(len(rows)), fps, 2)):
+        found.setdefault(root, []).append(i)
+    return list(found.values())
+
+
+def test_one_of_each_near_group_stays(spark, near):
+    rows = list(enumerate(near)) + [(None, near[0]), (None, "only this one has no id"), (None, "only this one has no id"), (5, near[5]), (7, None), (8, "")]
+    kept = [tuple(r)[:2] for r in pipeline.drop_near_copies(spark, near_docs(spark, rows).repartition(4), "").collect()]
+    groups = groups_of(rows)
+    assert any(len(g) > 1 for g in groups) and sorted(map(repr, kept)) == sorted(repr(rows[g[0]]) for g in groups)
+
+
+def test_a_clashing_column_stays(spark):
+    docs = near_docs(spark, [(1, "a b c"), (2, "a b c"), (3, "x y z w")]).withColumn("row", F.lit("mine"))
+    got = pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == [*COLUMNS, "row"] and sorted((r["doc_id"], r["row"]) for r in got.collect()) == [(1, "mine"), (3, "mine")]
+
+
+def test_a_result_outlives_the_next_run(spark, sf):
+    first = pipeline.run(spark, sf)
+    second = pipeline.run(spark, sf)
+    rows = sorted(map(tuple, first.collect()))
+    assert len(rows) > 0 and len(rows) == second.count()
+
+
+def test_whole_run_equals_its_stages(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf), name)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    pieces = pipeline.run(spark, sf).collect()
+    assert check_pieces(pieces, reference_ids(texts), packing.LENGTH) < 0.1
 
 
 def test_each_stage_on_its_own_input(spark, sf):

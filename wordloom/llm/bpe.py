@@ -11,7 +11,9 @@ from __future__ import annotations
 import ctypes
 import gc
 import json
+from array import array
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,9 @@ from pyspark.sql import types as T
 from wordloom.llm.words import slices
 
 CACHE_WORDS = 600_000
+CACHE_BYTES = 64 << 20  # of pretokens and their ids; long ones reach it before their number does
 _DECODED_ROWS = 256
+FEW_ROWS = 8  # trees that are advanced one by one
 _TREE_CELLS = 1 << 21  # bounds the memory of trees that advance together
 # The published byte-level pattern; its \s is Unicode white space.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,6 +64,16 @@ class PairTable:
             placed = self.keys[slot] == wanted[rest]
             rest, slot = rest[~placed], (slot[~placed] + 1) & (len(self.keys) - 1)
 
+    @cached_property
+    def known(self) -> dict[int, int]:
+        """Ranks by pair, for those who ask for one at a time."""
+        held = self.keys != self.EMPTY
+        return dict(zip(self.keys[held].tolist(), self.ranks[held].tolist()))
+
+    @cached_property
+    def merged_ids(self) -> list[int]:
+        return self.merged.tolist()
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -101,6 +115,10 @@ def merge_symbols(symbols: np.ndarray, sizes: np.ndarray, pairs: PairTable) -> t
         level //= 2
     at = np.flatnonzero(tree[:, 1] < none)
     while len(at):
+        if len(at) <= FEW_ROWS:
+            for row in at.tolist():
+                symbols[row] = _merge_alone(symbols[row], after[row], before[row], tree[row], int(none), pairs)
+            break
         best = tree[at, 1]
         p, rank = best & (width - 1), best >> bits
         q = after[at, p]
@@ -131,6 +149,47 @@ def merge_symbols(symbols: np.ndarray, sizes: np.ndarray, pairs: PairTable) -> t
     return symbols[alive], alive.sum(axis=1)
 
 
+def _merge_alone(
+    symbols: np.ndarray, after: np.ndarray, before: np.ndarray, tree: np.ndarray, none: int, pairs: PairTable
+) -> np.ndarray:
+    """The same merges for one row, without arrays: cheaper than rounds that advance few rows."""
+    width = len(symbols)
+    bits = width.bit_length() - 1
+    symbol, later, earlier = (array("i", np.ascontiguousarray(x, dtype=np.int32).tobytes()) for x in (symbols, after, before))
+    nodes = array("q", np.ascontiguousarray(tree).tobytes())
+    ranks, merged = pairs.known, pairs.merged_ids
+
+    def put(leaf: int, value: int) -> None:
+        node = leaf + width
+        nodes[node] = value
+        while node > 1:
+            other = nodes[node ^ 1]
+            least = value if value < other else other
+            node >>= 1
+            if nodes[node] == least:
+                return  # nothing above changes
+            nodes[node] = value = least
+
+    while nodes[1] < none:
+        place, rank = nodes[1] & (width - 1), nodes[1] >> bits
+        gone = later[place]
+        behind, ahead = later[gone], earlier[place]
+        own = symbol[place] = merged[rank]
+        symbol[gone] = -1
+        later[place] = behind
+        put(gone, none)
+        if behind >= 0:
+            earlier[behind] = place
+            found = ranks.get(own << 32 | symbol[behind])
+            put(place, none if found is None else found << bits | place)
+        else:
+            put(place, none)
+        if ahead >= 0:
+            found = ranks.get(symbol[ahead] << 32 | own)
+            put(ahead, none if found is None else found << bits | ahead)
+    return np.frombuffer(symbol, dtype=np.int32)
+
+
 class Bpe:
     """The merges of a tokenizer file (tokenizers' JSON form) and a bounded cache of encoded pretokens."""
 
@@ -161,10 +220,11 @@ class Bpe:
 
     def _forget(self) -> None:
         self.cache = {token: np.int32(i).tobytes() for token, i in self.special.items()}
+        self.held_bytes = 0
 
     def room(self) -> None:
         """Call between parts of a batch: drops the cache when it has reached its bound."""
-        if len(self.cache) > self.cache_words:
+        if len(self.cache) > self.cache_words or self.held_bytes > CACHE_BYTES:
             self._forget()
 
     def pretokens(self, text: str) -> list[str]:
@@ -181,6 +241,7 @@ class Bpe:
         """Encode pretokens into the cache, those of like length together."""
         raw = [w.encode() for w in words]
         sizes = np.array([len(b) for b in raw], dtype=np.int64)
+        self.held_bytes += int(sizes.sum())
         widths = np.maximum(2, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
         for width in np.unique(widths):
             chosen = np.flatnonzero(widths == width)
@@ -194,6 +255,7 @@ class Bpe:
                 symbols[np.arange(len(part)), n - 1] = self.last[cells[np.arange(len(part)), n - 1]]
                 ids, counts = merge_symbols(symbols, n, self.pairs)
                 held, ends = ids.astype(np.int32).tobytes(), np.cumsum(counts) * 4
+                self.held_bytes += len(held)
                 begin = 0
                 for i, end in zip(part.tolist(), ends.tolist()):
                     self.cache[words[i]] = held[begin:end]
@@ -229,12 +291,17 @@ def held(kind: Callable, *arguments) -> object:
     """One model per Python worker: tasks that reuse the worker find it, and its cache, again."""
     key = (kind, *arguments)
     if key not in _MODELS:
-        _MODELS.clear()
-        release_memory()
+        forget_models()
         _MODELS[key] = kind(*arguments)
     return _MODELS[key]
 
 
+def forget_models() -> None:
+    """Give back the worker's model."""
+    _MODELS.clear()
+    release_memory()
+
+
 def id_lists(encoded: list[bytes]) -> pa.Array:
     ends = np.cumsum([0] + [len(e) // 4 for e in encoded])
     values = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))

@@ -127,15 +127,18 @@ FILTER_AUDIT = f"""
     FROM counted"""
 
 SUFFIX_DEDUP = """
-    WITH cut AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
-    places AS (SELECT doc_id, h, n, unnest(range(n)) AS p FROM cut),
+    WITH cut AS (SELECT doc_id, encode(coalesce(text, '')) AS d, strlen(coalesce(text, '')) AS n FROM documents),
+    -- A thousand places are cut from a document at a time, so no step copies the whole of it for a byte.
+    blocks AS (SELECT doc_id, n, k, d[k + 1 : k + 1123] AS d FROM (SELECT doc_id, d, n, unnest(range(0, n, 1024)) AS k FROM cut)),
+    places AS (
+        SELECT doc_id, k + i AS p, hex(d[i + 1 : i + 1]) AS byte,
+               CASE WHEN k + i + 100 <= n THEN md5_number(hex(d[i + 1 : i + 100])) END AS s
+        FROM (SELECT *, unnest(range(least(1024, n - k))) AS i FROM blocks)),
     later AS (
-        SELECT doc_id, p FROM (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS s FROM places WHERE p + 100 <= n)
-        QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
-    told AS (
-        SELECT doc_id, a.p, substr(h, 2 * a.p + 1, 2) AS byte,
-               coalesce(max(b.p) OVER (PARTITION BY doc_id ORDER BY a.p) > a.p - 100, false) AS gone
-        FROM places a LEFT JOIN (SELECT doc_id AS d, p FROM later) b ON d = doc_id AND b.p = a.p),
+        SELECT doc_id, p, byte,
+               CASE WHEN s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 THEN p END AS q
+        FROM places),
+    told AS (SELECT doc_id, p, byte, coalesce(max(q) OVER (PARTITION BY doc_id ORDER BY p) > p - 100, false) AS gone FROM later),
     edged AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS edge FROM told),
     kept AS (
         SELECT doc_id, count(*) FILTER (WHERE gone) AS removed, count(*) FILTER (WHERE edge) AS spans,

@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
-from wordloom.llm.bpe import Bpe, held, id_lists
+from wordloom.llm.bpe import Bpe, forget_models, held, id_lists
 from wordloom.llm.words import slices
 from wordloom.session import durable
 
@@ -29,7 +30,8 @@ OPEN_WINDOWS = 32
 SMALL_GAP = 16
 MERGED_PARTITIONS = 256
 END_ID = 1
-CACHE_WORDS = 700_000
+CACHE_BYTES = 128 << 20  # of words and their ids
+_ENTRY_BYTES = 160  # of one word in the cache, besides its letters and ids
 CACHE_PIECES = 40_000  # pieces of new words; words that come again need none
 # The published pattern of the lower-case tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -47,15 +49,21 @@ class WordIds:
     hold a special token, through the tokenizers library itself.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
-
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        self.path = path
         self.bpe = Bpe(path, CACHE_PIECES)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
         self.pattern = regex.compile(WORD_PATTERN + r"|\n")
-        self.cache_words, self.cache = cache_words, {}
+        self.cache_bytes, self.held_bytes, self.cache = cache_bytes, 0, {}
+
+    @cached_property
+    def tokenizer(self):
+        """The library's tokenizer; most texts need none."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
 
     def _learn(self, words: list[bytes]) -> None:
         plain = [w for w in words if not w.translate(None, _PLAIN) and b"<|" not in w]
@@ -71,14 +79,17 @@ class WordIds:
         for word, end in zip(plain, (4 * np.flatnonzero(np.frombuffer(encoded, "<i4") == -1)).tolist()):
             self.cache[word] = encoded[begin:end]
             begin = end + 4
+        self.held_bytes += len(encoded)
         rest = list(set(words).difference(plain))
-        found = self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)
+        found = self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False) if rest else []
         for word, one in zip(rest, found):
             self.cache[word] = b"".join(i.to_bytes(4, "little") for i in one.ids)
+            self.held_bytes += 4 * len(one.ids)
+        self.held_bytes += sum(map(len, words)) + _ENTRY_BYTES * len(words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > self.cache_words:
-            self.cache = {}
+        if self.held_bytes > self.cache_bytes:
+            self.cache, self.held_bytes = {}, 0
         # Lower-casing A-Z early changes nothing but the number of words, unless it made a special token.
         raw = [t.encode() for t in texts]
         cut = [(r if b"<|" in r else r.lower()).split() for r in raw]
@@ -159,6 +170,8 @@ def pack(
     end_id: int | None = END_ID,
     with_ids: bool = True,
     make: Callable[[str, int], object] = WordIds,
+    cache_bytes: int = CACHE_BYTES,
+    keep_model: bool = True,
 ) -> DataFrame:
     """One row per piece: ``key, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and ``ids``.
 
@@ -166,12 +179,15 @@ def pack(
     text is a piece of that one id; without ``end_id`` it has no piece. Repeated rows, equal and NULL
     keys are packed like any others. Other columns of ``df`` play no part. Sequences are gapless from
     offset 0; the room after their last piece is padding. An empty table gives no rows.
+
+    A task holds encoded words of at most ``cache_bytes``, and those of one part of a batch. A worker keeps its model for the
+    next task, unless ``keep_model`` is off, which leaves the memory to other operators.
     """
     kind = df.schema[key].dataType.simpleString()
     ending = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held(make, path, CACHE_WORDS)
+        model = held(make, path, cache_bytes)
         windows = OpenWindows(length, open_windows)
         part_no = TaskContext.get().partitionId()
         key_type = None
@@ -193,6 +209,9 @@ def pack(
         left = windows.left()
         if left:
             yield _pieces(pa.nulls(len(left), key_type), [(-1, 0, 0, 0, w, fill) for w, fill in left], part_no, [b""] * len(left) if with_ids else None)
+        if not keep_model:
+            del model
+            forget_models()
 
     numbers = "start long, length long, ids_crc32 long, doc_tokens long, _window long, offset long, _part long"
     slim = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
