@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,62 +13,46 @@ from wordloom.session import drop_paths, durable, recorded
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+PACKING_CACHE_BYTES = 24 << 20  # of encoded words a task holds
 
-_HELD: dict[str, list[str]] = {}
 
-
-def stage(run: Stage) -> Stage:
-    """A stage that first drops the tables that the stage before has written for itself.
-
-    That stage's result has been written and read again by then, so nothing reads them any more.
-    """
-
-    @wraps(run)
-    def started(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        owner = spark.sparkContext.applicationId
-        drop_paths(spark, _HELD.pop(owner, []))
-        with recorded() as paths:
-            out = run(spark, docs, sf_dir)
-        _HELD[owner] = paths
-        return out
-
-    return started
-
-
-@stage
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the base rule or a learned rule rejects."""
     return quality.judge(docs, quality_rules(spark, docs, sf_dir)).filter("kept").select(*docs.columns)
 
 
-@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id.
+    """Of each group of near-duplicates the document with the smallest id; NULL ids come last.
 
-    Groups hold documents whose five-word shingles have a similarity of 0.8 or more.
+    Groups are those of the SimHash operator: three-word shingles, fingerprints linked at two or fewer bits. Rows
+    that repeat an id are documents of their own, so only one of them stays, too.
     """
-    others = simhash.sent_if_small(simhash.similar_groups(docs).filter("doc_id <> component_id"), ["doc_id"])
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    # Row numbers are frozen in a written table, or they could differ when a lost task runs again.
+    numbered = durable(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    groups = simhash.near_duplicates(numbered.select(key.alias("key"), "text"), key="key")
+    others = groups.filter("key <> component_id").select(F.col("key.row").alias(row))
+    return numbered.join(simhash.sent_if_small(others, [row]), row, "left_anti").select(*docs.columns)
 
 
-@stage
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the passages of 35 words or more that stand in several places."""
     cut = substrings.dedup_substrings(docs)
     return cut.withColumns({"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}).select(*docs.columns)
 
 
-@stage
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With every secret span replaced by a mark."""
     masked = secrets.redact(secrets.find_secrets(docs))
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
-@stage
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2,048 tokens of the documents that are left."""
-    return packing.pack(docs, WORD_TOKENIZER, with_ids=False)
+    return packing.pack(docs, WORD_TOKENIZER, with_ids=False, cache_bytes=PACKING_CACHE_BYTES, keep_model=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -83,7 +66,17 @@ ORACLE_SQL: str | None = None  # learned rules, fingerprints and a tokenizer are
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn. What a stage writes for itself goes as soon as its result is written.
+
+    The result reads the last stage's tables, which stay until ``session.drop_tables``.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    results: list[str] = []
     for name, apply in STAGES[:-1]:
-        docs = durable(apply(spark, docs, sf_dir), name)
+        with recorded() as own:
+            made = apply(spark, docs, sf_dir)
+        with recorded() as result:
+            docs = durable(made, name)
+        drop_paths(spark, [*own, *results])  # the result before this one has been read, too
+        results = result
     return STAGES[-1][1](spark, docs, sf_dir)
