@@ -1,158 +1,16 @@
-"""Next-word classifier: word vectors, mean-pooled context, multinomial regression.
-
-The network studied has a self-attention layer between the vectors and the mean; Spark's own
-learners have none, so here the mean is taken of the word vectors themselves.
-"""
+"""Scoring by an external next-word network."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordloom.functions.text import CONTEXT_TOKENS
-from wordloom.operators.corpus import known_targets
-from wordloom.operators.generate import TOP_K, Proposer, generate_topk
-from wordloom.operators.vectors import context_vectors
-from wordloom.operators.vocab import FIRST_IDX, encode
-from wordloom.session import durable
-
-LATENT_DIM = 15  # fixed value: size of trained word vectors
-SEED = 69
-VECTOR_PARTITIONS = 8
-
-
-def train_vectors(
-    examples: DataFrame,
-    row_key: list[str],
-    dim: int = LATENT_DIM,
-    window: int = 5,
-    iterations: int = 1,
-    seed: int = SEED,
-    partitions: int = VECTOR_PARTITIONS,
-) -> DataFrame:
-    """``(idx, vector)`` trained on the encoded examples.
-
-    The words are vocabulary indexes, so the trainer's own tables are bounded by the vocabulary cap.
-    The vectors depend on the rows, their keys and ``partitions``, not on the cores of the machine.
-    """
-    known = F.filter(F.concat("context_ids", F.array("label")), lambda i: i != 0)
-    placed = examples.repartition(partitions, *row_key).sortWithinPartitions(*row_key)
-    sentences = placed.select(known.cast("array<string>").alias("words"))
-    model = Word2Vec(
-        vectorSize=dim,
-        minCount=1,
-        windowSize=window,
-        maxIter=iterations,
-        numPartitions=partitions,
-        seed=seed,
-        inputCol="words",
-        outputCol="vector",
-    ).fit(sentences)
-    return durable(
-        model.getVectors().select(
-            F.col("word").cast("int").alias("idx"), vector_to_array("vector").cast("array<float>").alias("vector")
-        ),
-        "vectors",
-    )
-
-
-@dataclass
-class NextWordModel:
-    """A vector per vocabulary index and a classifier over the indexes from 2 on."""
-
-    matrix: DataFrame
-    classifier: LogisticRegressionModel
-    dim: int
-    mask_padding: bool = True
-    history: tuple[float, ...] = ()
-
-    def features(self, df: DataFrame, row_key: list[str]) -> DataFrame:
-        pooled = context_vectors(
-            df, self.matrix, self.dim, row_key, mask_padding=self.mask_padding, out="_mean"
-        )
-        return pooled.withColumn("features", array_to_vector("_mean")).drop("_mean")
-
-    def score(self, df: DataFrame, row_key: list[str]) -> DataFrame:
-        """Add ``probabilities``, one for each index from 2 on, for ``context_ids``."""
-        scored = self.classifier.transform(self.features(df, row_key))
-        return scored.select(*df.columns, vector_to_array("probability").alias("probabilities"))
-
-    def best(self, df: DataFrame, row_key: list[str]) -> DataFrame:
-        """Add the most probable index and its probability."""
-        scored = self.classifier.transform(self.features(df, row_key))
-        chosen = F.col("prediction").cast("int")
-        return scored.select(
-            *df.columns,
-            F.get(vector_to_array("probability"), chosen).alias("probability"),
-            (chosen + FIRST_IDX).alias("predicted_idx"),
-        )
-
-    def losses(self) -> DataFrame:
-        """``(iteration, loss)`` of the training, also of a model that was saved and loaded."""
-        spark = self.matrix.sparkSession
-        return spark.createDataFrame(list(enumerate(self.history)), "iteration int, loss double")
-
-    def save(self, path: str) -> None:
-        self.classifier.write().save(f"{path}/classifier")
-        self.matrix.write.parquet(f"{path}/vectors")
-        self.matrix.sparkSession.createDataFrame(
-            [(self.dim, self.mask_padding, list(self.history))], "dim int, mask_padding boolean, history array<double>"
-        ).write.parquet(f"{path}/settings")
-
-
-def load(spark: SparkSession, path: str) -> NextWordModel:
-    settings = spark.read.parquet(f"{path}/settings").first()
-    return NextWordModel(
-        spark.read.parquet(f"{path}/vectors"),
-        LogisticRegressionModel.load(f"{path}/classifier"),
-        settings["dim"],
-        settings["mask_padding"],
-        tuple(settings["history"]),
-    )
-
-
-def train(
-    examples: DataFrame,
-    row_key: list[str],
-    matrix: DataFrame | None = None,
-    dim: int = LATENT_DIM,
-    mask_padding: bool = True,
-    iterations: int = 100,
-    reg: float = 0.0,
-) -> NextWordModel:
-    """Fit on encoded examples ``(context_ids, label)``; unknown targets are left out.
-
-    Without ``matrix`` the word vectors are trained first; with it they stay as they are. The
-    classifier has one class per vocabulary index, so its size is set by the vocabulary cap.
-    """
-    known = known_targets(examples)
-    matrix = train_vectors(known, row_key, dim) if matrix is None else matrix.select("idx", "vector")
-    untrained = NextWordModel(matrix, None, dim, mask_padding)
-    rows = untrained.features(known, row_key).select("features", (F.col("label") - FIRST_IDX).cast("double").alias("label"))
-    estimator = LogisticRegression(family="multinomial", maxIter=iterations, regParam=reg)
-    fitted = estimator.fit(durable(rows, "features"))
-    history = tuple(float(loss) for loss in fitted.summary.objectiveHistory)
-    return NextWordModel(matrix, fitted, dim, mask_padding, history)
-
-
-def score_loss(scored: DataFrame, label: str = "label") -> DataFrame:
-    """One row: mean cross-entropy and accuracy over rows with a known target."""
-    known = known_targets(scored, label)
-    p = F.get("probabilities", F.col(label) - FIRST_IDX)
-    hit = F.array_position("probabilities", F.array_max("probabilities")) == F.col(label) - (FIRST_IDX - 1)
-    return known.agg(
-        F.count("*").alias("targets"),
-        F.avg(-F.log(F.greatest(p, F.lit(1e-300)))).alias("loss"),
-        F.avg(hit.cast("int")).alias("accuracy"),
-    )
 
 
 def score_plugin(
@@ -174,29 +32,3 @@ def score_plugin(
         input_tensor_shapes=[[n]],
     )
     return df.withColumn(out, predict(F.col("context_ids")))
-
-
-def proposer(model: NextWordModel, vocab: DataFrame, n: int, id: str = "request_id", k: int = TOP_K) -> Proposer:
-    """Candidates by the classifier's probability; ``k + n + 1`` are enough for ``k`` allowed ones."""
-
-    def ranked(probabilities: Column) -> Column:
-        # The best ones reach the level of the k-th largest value; only they are ordered.
-        least = F.get(F.sort_array(probabilities, asc=False), F.lit(k + n))
-        placed = F.transform(probabilities, lambda p, i: F.struct((-p).alias("neg"), (i + FIRST_IDX).alias("idx")))
-        order = F.array_sort(F.filter(placed, lambda x: least.isNull() | (-x["neg"] >= least)))
-        return F.transform(F.slice(order, 1, k + n + 1), lambda x: x["idx"])
-
-    def propose(state: DataFrame) -> DataFrame:
-        encoded = encode(state, F.concat_ws(" ", "_context"), vocab, [id])
-        scored = model.score(encoded, [id])
-        return scored.withColumn("_candidates", ranked(F.col("probabilities"))).drop("probabilities", "context_ids")
-
-    return Proposer(propose, by_index=True)
-
-
-def generate_scored(
-    requests: DataFrame, model: NextWordModel, vocab: DataFrame, n: int | None = None, id: str = "request_id", **options
-) -> DataFrame:
-    """Extend texts with the classifier; without ``n`` each request brings its own."""
-    longest = n if n is not None else (requests.agg(F.max("n")).first()[0] or 0)
-    return generate_topk(requests, proposer(model, vocab, longest, id), vocab, n, id, **options)

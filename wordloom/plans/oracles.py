@@ -69,7 +69,6 @@ def encoded(cap: int) -> str:
 
 ENCODED_15K = encoded(15_000)
 ENCODED_20K = encoded(20_000)
-ENCODED_1K = encoded(1_000)
 
 
 def grams(where: str) -> str:
@@ -316,23 +315,8 @@ def topk_rounds(rounds: int) -> str:
     SELECT request_id, text || ' ' || array_to_string(words, ' ') AS generated_text FROM r{rounds}"""
 
 
-def trained(cap: int) -> str:
-    return f"""
-    WITH vocab AS ({vocabulary(cap, TRAIN)}),
-    ex AS ({examples(STD_TOKENS, source=f"(SELECT doc_id, text FROM documents WHERE {TEST})")})
-    SELECT (SELECT count(*) FROM vocab) AS vocabulary,
-           count(*) FILTER (WHERE next_word IN (SELECT token FROM vocab WHERE idx > 1)) AS targets,
-           TRUE AS below_uniform, TRUE AS measures_in_range
-    FROM ex"""
-
-
 ORACLES: dict[str, str] = {
-    "train_next_word": trained(15_000),
-    "train_next_word_vectors": trained(20_000),
-    "training_curve": "SELECT r::INTEGER AS iteration, TRUE AS not_risen FROM range(11) t(r)",
-    "score_contexts": f"""
-        SELECT doc_id AS id, next_word, TRUE AS has_word, TRUE AS probability_in_range, TRUE AS judged
-        FROM ({examples(STD_TOKENS, source=f"(SELECT doc_id, text FROM documents WHERE {TEST})")})""",
+    "save_network": vocabulary(15_000, TRAIN),
     "scan_csv": """
         SELECT doc_id::INTEGER AS id, source AS tag, n_chars::INTEGER AS views, text AS lyrics, lang AS language
         FROM documents""",
@@ -411,14 +395,9 @@ ORACLES: dict[str, str] = {
         WITH {ENCODED_15K}
         SELECT idx::INTEGER AS idx, doc_id AS id, pos::INTEGER AS pos, token FROM ids JOIN vocab USING (idx)""",
     "everygrams": f"""
-        WITH padded AS (
-            SELECT doc_id, ['<s>', '<s>'] || {LOW_WORDPUNCT} || ['</s>', '</s>'] AS t FROM documents),
-        cut AS (
-            SELECT doc_id, m, array_to_string(t[i : i + m - 1], ' ') AS gram
-            FROM (SELECT doc_id, t, m, unnest(range(1, len(t) - m + 2)) AS i FROM padded, range(1, 4) r(m)))
-        SELECT doc_id AS id, m::INTEGER AS n, count(*) AS grams, count(DISTINCT gram) AS distinct_grams,
-               min(gram) AS first_gram, max(gram) AS last_gram
-        FROM cut GROUP BY ALL""",
+        SELECT doc_id AS id, m::INTEGER AS n, (i - 1)::INTEGER AS pos, array_to_string(t[i : i + m - 1], ' ') AS gram
+        FROM (SELECT doc_id, t, m, unnest(range(1, len(t) - m + 2)) AS i
+              FROM (SELECT doc_id, ['<s>', '<s>'] || {LOW_WORDPUNCT} || ['</s>', '</s>'] AS t FROM documents), range(1, 4) r(m))""",
     "vocabulary": vocabulary(15_000),
     "vocabulary_head": f"SELECT * FROM ({vocabulary(15_000)}) ORDER BY idx LIMIT 100",
     "embedding_matrix": f"""
@@ -464,6 +443,15 @@ ORACLES: dict[str, str] = {
         SELECT doc_id AS id, pos, next_word, word AS predicted, order_used, word = next_word AS correct
         FROM placed JOIN best ON best.n = order_used AND best.context = ctx""",
     "ngram_accuracy": ACCURACY + " SELECT trial, correct, total, round(accuracy, 6) AS accuracy FROM acc",
+    "ngram_accuracy_drawn": f"""
+        WITH chosen AS ({drawn("c")}), asked AS ({HELD_OUT}),
+        told AS (
+            SELECT trial, count(*) FILTER (WHERE word = next_word) AS correct, count(*) AS total
+            FROM asked LEFT JOIN chosen ON id = doc_id, range(10) r(trial)
+            WHERE {h("'trial' || trial::VARCHAR", 'doc_id')} % 10 = 0 GROUP BY trial)
+        SELECT r.trial::INTEGER AS trial, coalesce(correct, 0) AS correct, coalesce(total, 0) AS total,
+               round(correct / total, 6) AS accuracy
+        FROM range(10) r(trial) LEFT JOIN told USING (trial)""",
     "accuracy_summary": ACCURACY
     + """
         SELECT count(*) AS trials, count(accuracy) AS trials_used, round(avg(accuracy), 6) AS mean_accuracy,
@@ -490,13 +478,12 @@ ORACLES: dict[str, str] = {
     "generate_scored": scored_rounds(10),
     "answer_requests": answers(),
     "answer_request_stream": answers(),
-    "generate_network": f"SELECT request_id, TRUE AS keeps_text FROM {USER_TURNS}",
     "generate_plugin": rf"""
         SELECT request_id, CASE WHEN w IS NULL THEN text ELSE text || repeat(' ' || w, 10) END AS generated_text
         FROM (SELECT request_id, text, regexp_extract_all(text, '[^\s]+')[-1] AS w FROM {USER_TURNS})""",
     # The last known word of the context; without one, all words are equal and the first one wins.
     "score_plugin": f"""
-        WITH {ENCODED_1K},
+        WITH {ENCODED_15K},
         chosen AS (SELECT doc_id, coalesce(arg_max(idx, pos) FILTER (WHERE idx > 1), 2)::INTEGER AS idx
                    FROM ids GROUP BY doc_id)
         SELECT idx, doc_id AS id, token AS predicted FROM chosen JOIN vocab USING (idx)""",

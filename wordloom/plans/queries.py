@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as tx
-from wordloom.operators import corpus, evaluate, examples, generate, ids, learn, ngram, vectors, vocab
+from wordloom.operators import corpus, evaluate, examples, generate, ids, learn, network, ngram, store, vectors, vocab
 from wordloom.plans import inputs
 from wordloom.session import durable, new_path
 from wordloom.sources import tables
@@ -22,11 +21,7 @@ QUERIES: dict[str, Query] = {}
 SAMPLE_ROWS = 100
 BATCH_SIZE = 64
 GENERATED_WORDS = 10
-SCORED_CHOICES = 40
 TEMPERATURE = 2.0
-LEARN_PASSES = 10  # examples drawn of each text
-LEARN_ITERATIONS = 10  # steps of the optimiser
-PLUGIN_TOKENS = 1_000  # classes of the stand-in for an external network
 
 
 def query(run: Query) -> Query:
@@ -261,13 +256,7 @@ def decode_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def everygrams(spark: SparkSession, sf: str) -> DataFrame:
-    grams = ngram.everygrams(inputs.texts(spark, sf))
-    return grams.groupBy("id", "n").agg(
-        F.count("*").alias("grams"),
-        F.count_distinct("gram").alias("distinct_grams"),
-        F.min("gram").alias("first_gram"),
-        F.max("gram").alias("last_gram"),
-    )
+    return ngram.everygrams(inputs.texts(spark, sf))
 
 
 # --- Vocabulary and vectors ---
@@ -405,6 +394,14 @@ def ngram_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return _accuracy(spark, sf).withColumn("accuracy", F.round("accuracy", 6))
 
 
+@query
+def ngram_accuracy_drawn(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy of words drawn by weight."""
+    train, test = inputs.train_test(spark, sf)
+    told = evaluate.accuracy(evaluate.drawn_trials(test, inputs.model(train)), trials=corpus.TRIALS)
+    return told.withColumn("accuracy", F.round("accuracy", 6))
+
+
 @query
 def accuracy_summary(spark: SparkSession, sf: str) -> DataFrame:
     summary = evaluate.accuracy_summary(_accuracy(spark, sf))
@@ -473,45 +470,40 @@ def route_requests(spark: SparkSession, sf: str) -> DataFrame:
 _LEARNED: dict[tuple, tuple] = {}
 
 
-def _learned(spark: SparkSession, sf: str, with_vectors: bool = False) -> tuple[learn.NextWordModel, DataFrame, DataFrame]:
-    """Model, vocabulary, and encoded held-out examples; trained once per application and input."""
+def _learned(spark: SparkSession, sf: str, with_vectors: bool = False) -> tuple[network.Model, DataFrame, DataFrame]:
+    """Network, vocabulary, and encoded held-out examples; trained once per application and input.
+
+    Every epoch draws a new example of each training text.
+    """
     key = (spark.sparkContext.applicationId, sf, with_vectors)
     if key in _LEARNED:
         return _LEARNED[key]
     train, test = inputs.train_test(spark, sf)
-    cap = vocab.MAX_TOKENS_VECTORS if with_vectors else vocab.MAX_TOKENS
+    if with_vectors:
+        cap, epochs, batch, dim = vocab.MAX_TOKENS_VECTORS, network.EPOCHS_VECTORS, network.BATCH_SIZE_VECTORS, inputs.VECTOR_DIM
+    else:
+        cap, epochs, batch, dim = vocab.MAX_TOKENS, network.EPOCHS, network.BATCH_SIZE, network.LATENT_DIM
     words = durable(vocab.vocabulary(train, max_tokens=cap), "vocabulary")
     tokens = examples.tokenizer()
-    drawn = examples.random_examples(train, tokens=tokens, passes=LEARN_PASSES)
+    drawn = examples.random_examples(train, tokens=tokens, passes=epochs)
     fitted = durable(examples.encoded_examples(drawn, words, ["id", "pass"]), "examples")
-    held_out = examples.random_examples(test, tokens=tokens)
-    matrix = durable(_matrix(spark, sf, words), "matrix") if with_vectors else None
-    dim = inputs.VECTOR_DIM if with_vectors else learn.LATENT_DIM
-    model = learn.train(
-        fitted, ["id", "pass"], matrix, dim, mask_padding=not with_vectors, iterations=LEARN_ITERATIONS
-    )
-    _LEARNED[key] = model, words, durable(examples.encoded_examples(held_out, words, ["id"]), "held-out")
+    held_out = durable(examples.encoded_examples(examples.random_examples(test, tokens=tokens), words, ["id"]), "held-out")
+    size = words.count()
+    shape = network.Shape(size, dim, given=with_vectors, mask=not with_vectors)
+    given = network.given_vectors(_matrix(spark, sf, words), size, dim) if with_vectors else None
+    steps, batches = network.pack_steps(fitted, batch)
+    model = network.train(spark, steps, batches, epochs, shape, given, network.pack_rows(held_out))
+    _LEARNED[key] = model, words, held_out
     return _LEARNED[key]
 
 
-def _network_predictions(model: learn.NextWordModel, words: DataFrame, test: DataFrame) -> DataFrame:
-    best = model.best(test, ["id"])
-    named = vocab.decode(best, words, "predicted_idx", "predicted")
-    return evaluate.check(named).select("id", "next_word", "predicted", "probability", "correct")
-
-
 def _trained(spark: SparkSession, sf: str, with_vectors: bool) -> DataFrame:
-    """What the training must reach: the size of the vocabulary, the known targets among the held-out
-    examples, and a training loss below that of a uniform guess."""
+    """What the training has reached on the held-out examples with a known target, beside the words' frequencies alone."""
     model, words, test = _learned(spark, sf, with_vectors)
-    size = words.count()
-    result = learn.score_loss(model.score(test, ["id"]))
-    return result.select(
-        F.lit(size).cast("long").alias("vocabulary"),
-        "targets",
-        F.lit(model.history[-1] < math.log(size - vocab.FIRST_IDX)).alias("below_uniform"),
-        ((F.col("loss") > 0) & F.col("accuracy").between(0, 1)).alias("measures_in_range"),
-    )
+    known = corpus.known_targets(test)
+    targets, loss, right = network.measure(model, network.pack_rows(test))
+    row = (words.count(), targets, len(model.history), loss, network.unigram_loss(known, words), right)
+    return spark.createDataFrame([row], "vocabulary long, targets long, epochs int, loss double, unigram_loss double, accuracy double")
 
 
 @query
@@ -526,22 +518,38 @@ def train_next_word_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def score_contexts(spark: SparkSession, sf: str) -> DataFrame:
-    """The predictions for the held-out examples, as far as they can be known without the model."""
-    checked = _network_predictions(*_learned(spark, sf))
-    return checked.select(
-        "id",
-        "next_word",
-        F.col("predicted").isNotNull().alias("has_word"),
-        F.col("probability").between(0, 1).alias("probability_in_range"),
-        (F.col("correct") == (F.col("predicted") == F.col("next_word"))).alias("judged"),
-    )
+    """The word that the network predicts for each held-out example."""
+    model, words, test = _learned(spark, sf)
+    best = F.get("best", F.lit(0))
+    scored = network.score(test.select("id", "next_word", "context_ids"), model)
+    named = vocab.decode(scored.select("id", "next_word", best["idx"].alias("idx"), best["probability"].alias("probability")), words, out="predicted")
+    return evaluate.check(named).select("id", "next_word", "predicted", "probability", "correct")
+
+
+@query
+def network_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    model, words, _ = _learned(spark, sf)
+    told = evaluate.network_trials(inputs.train_test(spark, sf)[1], model, words)
+    return evaluate.accuracy(told, trials=corpus.TRIALS)
+
+
+@query
+def save_network(spark: SparkSession, sf: str) -> DataFrame:
+    """Vocabulary, network and its history as one version of a store; the vocabulary as it is read back."""
+    model, words, _ = _learned(spark, sf)
+    root = new_path(spark, "models")
+    store.publish(spark, root, {"vocabulary": words} | model.frames(spark))
+    kept = store.latest(spark, root)
+    if not np.array_equal(network.Model.of(kept).flat, model.flat):
+        raise ValueError("the network that was read is not the one that was written")
+    return kept["vocabulary"]
 
 
 def _copying_model() -> Callable[[np.ndarray], np.ndarray]:
     """Stands for an external network: prefers the words of the context, the last one most."""
 
     def predict(ids: np.ndarray) -> np.ndarray:
-        scores = np.full((len(ids), PLUGIN_TOKENS - vocab.FIRST_IDX), 1.0, dtype="float32")
+        scores = np.full((len(ids), vocab.MAX_TOKENS - vocab.FIRST_IDX), 1.0, dtype="float32")
         rows, places = np.nonzero(ids >= vocab.FIRST_IDX)
         scores[rows, ids[rows, places].astype(int) - vocab.FIRST_IDX] = 2.0 + places
         return scores / scores.sum(axis=1, keepdims=True)
@@ -551,7 +559,7 @@ def _copying_model() -> Callable[[np.ndarray], np.ndarray]:
 
 @query
 def score_plugin(spark: SparkSession, sf: str) -> DataFrame:
-    words = inputs.vocabulary(spark, sf, PLUGIN_TOKENS)
+    words = inputs.vocabulary(spark, sf)
     scored = learn.score_plugin(_encoded(spark, sf, words), _copying_model)
     best = F.array_position("probabilities", F.array_max("probabilities")) + (vocab.FIRST_IDX - 1)
     return vocab.decode(scored.select("id", best.cast("int").alias("idx")), words, out="predicted")
@@ -559,33 +567,37 @@ def score_plugin(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def training_curve(spark: SparkSession, sf: str) -> DataFrame:
-    """Every step of the optimiser, and whether the loss has not risen in it."""
-    losses = _learned(spark, sf)[0].losses()
-    before = losses.select((F.col("iteration") + 1).alias("iteration"), F.col("loss").alias("before"))
-    return losses.join(before, "iteration", "left").select(
-        "iteration", (F.coalesce("before", "loss") >= F.col("loss")).alias("not_risen")
-    )
+    """Mean training loss of every epoch, and the held-out loss where it was measured."""
+    return _learned(spark, sf)[0].frames(spark)["history"]
 
 
 @query
 def generate_network(spark: SparkSession, sf: str) -> DataFrame:
-    """Words by the trained classifier."""
+    """Words by the trained network: a choice among its ten best."""
+    model, words, _ = _learned(spark, sf)
+    answered = network.generate(inputs.requests(spark, sf), model, words, GENERATED_WORDS)
+    return answered.select("request_id", "generated_text")
+
+
+@query
+def generate_network_temperature(spark: SparkSession, sf: str) -> DataFrame:
+    """Words drawn by the network's probabilities, flattened by a temperature."""
     model, words, _ = _learned(spark, sf)
-    answered = learn.generate_scored(inputs.requests(spark, sf), model, words, GENERATED_WORDS)
-    return answered.select("request_id", F.startswith("generated_text", "text").alias("keeps_text"))
+    answered = network.generate(inputs.requests(spark, sf), model, words, GENERATED_WORDS, temperature=TEMPERATURE)
+    return answered.select("request_id", "generated_text")
 
 
-def _fixed_scores(spark: SparkSession, sf: str, max_tokens: int) -> tuple[generate.Proposer, DataFrame]:
-    """A scoring table that SQL can repeat: what follows a word most often in the training texts."""
+def _fixed_scores(spark: SparkSession, sf: str, max_tokens: int, n: int) -> tuple[generate.Proposer, DataFrame]:
+    """A scoring table that SQL can repeat: what follows a word most often in the training texts, enough for ``n`` words."""
     words = inputs.vocabulary(spark, sf, max_tokens)
-    lists = generate.next_index_lists(inputs.train_test(spark, sf)[0], words, SCORED_CHOICES)
+    lists = generate.next_index_lists(inputs.train_test(spark, sf)[0], words, generate.TOP_K + n + 1)
     return generate.list_proposer(lists, words), words
 
 
 @query
 def generate_scored(spark: SparkSession, sf: str) -> DataFrame:
     answered = generate.generate_topk(
-        inputs.requests(spark, sf), *_fixed_scores(spark, sf, vocab.MAX_TOKENS), GENERATED_WORDS
+        inputs.requests(spark, sf), *_fixed_scores(spark, sf, vocab.MAX_TOKENS, GENERATED_WORDS), GENERATED_WORDS
     )
     return answered.select("request_id", "generated_text")
 
@@ -593,8 +605,9 @@ def generate_scored(spark: SparkSession, sf: str) -> DataFrame:
 def _models(spark: SparkSession, sf: str) -> dict[str, generate.Generator]:
     """All four generators; the two networks stand as fixed scoring tables."""
     draws = ngram.draw_buckets(ngram.draw_table(inputs.model(inputs.train_test(spark, sf)[0])))
-    own = _fixed_scores(spark, sf, vocab.MAX_TOKENS)
-    given = _fixed_scores(spark, sf, vocab.MAX_TOKENS_VECTORS)
+    longest = generate.with_defaults(_asked(spark, sf)).agg(F.max("n")).first()[0] or 0
+    own = _fixed_scores(spark, sf, vocab.MAX_TOKENS, longest)
+    given = _fixed_scores(spark, sf, vocab.MAX_TOKENS_VECTORS, longest)
     return {
         "baseline": lambda r: generate.generate_ngram(r, draws),
         "inhouse": lambda r: generate.generate_topk(r, *own),
@@ -614,6 +627,17 @@ def answer_requests(spark: SparkSession, sf: str) -> DataFrame:
     return generate.answer(_asked(spark, sf), _models(spark, sf))
 
 
+@query
+def answer_requests_trained(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the trained networks in the place of the fixed scoring tables."""
+
+    def trained(with_vectors: bool) -> generate.Generator:
+        model, words, _ = _learned(spark, sf, with_vectors)
+        return lambda r: network.generate(r, model, words)
+
+    return generate.answer(_asked(spark, sf), _models(spark, sf) | {"inhouse": trained(False), "glove": trained(True)})
+
+
 @query
 def answer_request_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same answers from a stream of request files."""
