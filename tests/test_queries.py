@@ -15,7 +15,7 @@ CHECKED = [
     "scan_csv", "write_snippets", "random_snippet", "dense_id", "sample_n_rows", "trial_samples", "encode_context",
     "vocabulary", "context_vectors", "ngram_counts", "ngram_mle", "next_word_topk", "next_word_draw", "ngram_accuracy",
     "ngram_log_loss", "generate_topk", "generate_ngram", "route_requests", "write_corpus", "split_train_test",
-    "accuracy_summary", "accuracy_histogram", "generate_scored", "everygrams", "ngram_accuracy_drawn", "score_plugin",
+    "accuracy_summary", "accuracy_histogram", "generate_scored", "everygrams", "ngram_accuracy_drawn", "score_plugin", "tokenize_treebank", "learned_abbreviations",
 ]
 
 

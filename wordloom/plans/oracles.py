@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wordloom.functions import treebank
+
 WORD = r"'[\p{L}\p{N}_]+'"
 WORDPUNCT = r"'[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]'"
 PUNCT = "'!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'''"
@@ -27,6 +29,38 @@ def tokens_query(tokens: str) -> str:
         FROM (SELECT doc_id, {tokens} AS t FROM documents)"""
 
 
+def rewritten(text: str) -> str:
+    """The rewrite rules in their order, for RE2."""
+
+    def apply(out: str, rules: list[tuple[str, str]]) -> str:
+        for pattern, replacement in rules:
+            out = f"regexp_replace({out}, '{quoted(pattern)}', '{quoted(replacement.replace('$', chr(92)))}', 'g')"
+        return out
+
+    padded = f"' ' || {apply(f'lower({text})', treebank.RULES)} || ' '"
+    return apply(padded, treebank.ENDING_RULES + treebank.contraction_rules())
+
+
+def quoted(text: str) -> str:
+    return text.replace("'", "''")
+
+
+TYPE = r"'[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*\.?'"
+ABBREVIATIONS = rf"""
+    WITH words AS (SELECT unnest(regexp_extract_all(lower(text), {TYPE})) AS w FROM documents),
+    counts AS (
+        SELECT rtrim(w, '.') AS type, count(*) FILTER (WHERE suffix(w, '.')) AS a, count(*) FILTER (WHERE NOT suffix(w, '.')) AS b
+        FROM words GROUP BY 1),
+    whole AS (SELECT sum(a) / sum(a + b) AS share FROM counts),
+    sized AS (SELECT *, length(type) - length(replace(type, '.', '')) + 1 AS periods FROM counts, whole),
+    told AS (SELECT *, length(type) - periods + 1 AS letters FROM sized WHERE a > 0 AND regexp_matches(type, '\p{{L}}'))
+    SELECT type, a AS with_period, b AS without_period,
+           round(CASE WHEN share < 1 THEN
+               -2 * ((a * ln(share) + b * ln(1 - share)) - (a * ln(0.99::DOUBLE) + b * ln(1 - 0.99::DOUBLE)))
+               * exp(-letters) * periods * pow(letters, -b) END, 6) + 0.0 AS score
+    FROM told"""
+
+
 def vocabulary(cap: int, where: str = "TRUE") -> str:
     return f"""
         SELECT 0 AS idx, '' AS token, NULL::BIGINT AS freq
@@ -366,6 +400,8 @@ ORACLES: dict[str, str] = {
     "standardize_text": f"SELECT doc_id AS id, translate(lower(text), {PUNCT}, '') AS standard FROM documents",
     "standardize_tokens": tokens_query(STD_TOKENS),
     "tokenize_wordpunct": tokens_query(LOW_WORDPUNCT),
+    "tokenize_treebank": tokens_query(rf"regexp_extract_all({rewritten('text')}, '[^ \t\n\x0B\f\r]+')"),
+    "learned_abbreviations": ABBREVIATIONS,
     "pad_tokens": f"""
         SELECT doc_id AS id, array_to_string(['<s>', '<s>'] || t || ['</s>', '</s>'], ' ') AS padded,
                array_to_string(['<s>', '<s>', '<s>', '<s>'] || t || ['</s>', '</s>', '</s>', '</s>'], ' ')

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as tx
-from wordloom.operators import corpus, evaluate, examples, generate, ids, learn, network, ngram, store, vectors, vocab
+from wordloom.functions import treebank
+from wordloom.operators import corpus, evaluate, examples, generate, ids, learn, network, ngram, sentences, store, vectors, vocab
 from wordloom.plans import inputs
 from wordloom.session import durable, new_path
 from wordloom.sources import tables
@@ -197,6 +198,28 @@ def tokenize_wordpunct(spark: SparkSession, sf: str) -> DataFrame:
     return _tokens(spark, sf, tx.wordpunct_tokens)
 
 
+@query
+def tokenize_treebank(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens with split contractions and quotes, each text as one sentence."""
+    return _tokens(spark, sf, treebank.treebank_tokens)
+
+
+@query
+def learned_abbreviations(spark: SparkSession, sf: str) -> DataFrame:
+    """Words before periods and how much they look like abbreviations."""
+    told = sentences.abbreviations(inputs.texts(spark, sf))
+    return told.withColumn("score", F.round("score", 6))
+
+
+@query
+def tokenize_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens sentence by sentence, with the abbreviations that the texts themselves tell."""
+    texts = inputs.texts(spark, sf)
+    known = durable(sentences.abbreviations(texts).filter(F.col("score") >= sentences.LEAST_SCORE).select("type"), "abbreviations")
+    cut = sentences.sentence_tokens(texts, known).select("id", F.col("tokens").alias("_t"))
+    return cut.select("id", F.size("_t").alias("n_tokens"), _joined(F.col("_t")).alias("tokens"))
+
+
 @query
 def pad_tokens(spark: SparkSession, sf: str) -> DataFrame:
     cut = inputs.texts(spark, sf).select("id", tx.wordpunct_tokens(F.col("text")).alias("_t"))
