@@ -2,11 +2,14 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from wordloom.llm import suffix_dedup
-from wordloom.llm.bwt import Merge, transform
+from wordloom.llm.bwt import Merge, Shards, transform, transforms
 from wordloom.llm.queries import QUERIES
 
+SLIM = pa.schema([("piece", pa.int64()), ("held_key", pa.int64()), ("held_no", pa.int64()), ("held_text", pa.string())])
+
 
 def brute_force(rows, length):
     """``(bytes, removed, spans, kept)`` of each ``(key, text)``, in the order of the rows."""
@@ -54,41 +57,70 @@ def test_equals_brute_force(spark, texts, length, hot):
         assert found(shaped, length=length, hot_runs=hot) == want
 
 
-@pytest.mark.parametrize("size", [4096, 300])
-def test_pieces_and_chunks(spark, texts, size, monkeypatch):
-    """Texts far longer than what is hashed at a time, and rows dealt to many pieces."""
+def _laid(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+
+
+@pytest.mark.parametrize("size", [1 << 18, 4096, 300])
+def test_every_start_is_in_one_run(texts, size, monkeypatch):
+    """Also in texts far longer than what is hashed at a time."""
     monkeypatch.setattr(suffix_dedup, "CHUNK", size)
-    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 3 * size)
-    # Functions that tasks run see the module as it is there, so the classes are used here directly.
-    finder = suffix_dedup.Finder(35)
-    import pyarrow as pa
-
-    whole = [t for _, t in texts if t] + ["x y " * 900 + "tail of a long text " * 30]
-    starts = set()
-    for runs in finder.runs(pa.array(whole)):
-        for i in range(len(runs.start)):
-            text = runs.text(i, 35)
-            place, row = int(runs.place[i]), int(runs.row[i])
-            assert whole[row].encode()[place : place + len(text)] == text and len(text) < 70
-            new = {(row, place + k) for k in range(int(runs.starts[i]))}
-            assert not new & starts
-            starts |= new
-    assert starts == {(r, a) for r, t in enumerate(whole) for a in range(len(t.encode()) - 34)}
-
-
-def test_anchors_depend_on_the_string_alone():
-    """Equal strings have one anchor, wherever they stand."""
-    import pyarrow as pa
+    whole = [t for _, t in texts if t is not None] + ["x y " * 900 + "tail of a long text " * 30, ""]
+    data, bounds = _laid(whole)
+    runs = suffix_dedup.Finder(35).runs(data, bounds)
+    starts = [a + k for a, n in zip(runs.start.tolist(), runs.starts.tolist()) for k in range(n)]
+    assert len(set(starts)) == len(starts) and runs.starts.max() <= 35
+    assert set(starts) == {a for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()) for a in range(lo, hi - 34)}
+
 
+@pytest.mark.parametrize("length", [1, 2, 5, 20])
+def test_anchors_depend_on_the_string_alone(length):
+    """Equal strings have one anchor, wherever they stand, and runs with one name are equal."""
     chance = random.Random(8)
     core = "".join(chance.choice("abcde ") for _ in range(60))
     texts = ["".join(chance.choice("abcde ") for _ in range(chance.randint(0, 90))) + core + "z" * chance.randint(0, 50) for _ in range(30)]
-    anchors = {}
-    for runs in suffix_dedup.Finder(20).runs(pa.array(texts)):
-        for i in range(len(runs.start)):
-            text = runs.text(i, 20)
-            for k in range(int(runs.starts[i])):
-                assert anchors.setdefault(text[k : k + 20], int(runs.anchor[i])) == int(runs.anchor[i])
+    data, bounds = _laid(texts)
+    runs = suffix_dedup.Finder(length).runs(data, bounds)
+    anchors, names = {}, {}
+    for a, n, anchor, name in zip(runs.start.tolist(), runs.starts.tolist(), runs.anchor.tolist(), runs.name.tolist()):
+        text = data[a : a + n + length - 1].tobytes()
+        own = [text[k : k + length] for k in range(n)]
+        assert all(anchors.setdefault(s, anchor) == anchor for s in own)
+        assert name == 0 or (len(set(own)) == n and names.setdefault(name, text) == text)
+
+
+@pytest.mark.parametrize("size", [1 << 23, 2000])
+def test_small_pieces(spark, texts, size, monkeypatch):
+    """All in this process: many pieces that exchange answers, as the job does it."""
+    want = brute_force(texts, 35)
+    pieces, held = [], []
+    for i, (key, text) in enumerate(texts):
+        held.append((len(pieces), key, i, text or ""))
+        if sum(len(h[3]) for h in held) > size:
+            pieces.append(held)
+            held = []
+    pieces.append(held)
+    tables = [pa.table({n: [h[j] for h in p] for j, n in enumerate(("piece", "held_key", "held_no", "held_text"))}, schema=SLIM) for p in pieces if p]
+    made = [suffix_dedup.Piece(t, 35) for t in tables]
+    rows = []
+    for piece in made:
+        own, start = piece.anchors, 0
+        for i, end in enumerate(suffix_dedup.range_ends(own.anchor, 3)):
+            rows.append((i, piece.number, own.anchor[start:end].tobytes(), own.name[start:end].tobytes(), own.different[start:end].astype(np.uint32).tobytes()))
+            start = end
+    judged = [suffix_dedup.judge_anchors(pa.table(dict(zip(("range", "piece", "anchors", "names", "counts"), map(list, zip(*[r for r in rows if r[0] == i]))))), 4) for i in range(3)]
+    answers = pa.concat_tables(judged).to_pylist()
+    found = [p.found(p.codes({a["range"]: a["answer"] for a in answers if a["piece"] == p.number}, 3), 5) for p in made]
+    blocks = pa.concat_tables([f.blocks(5) for f in found])
+    merged = [suffix_dedup.merge_range(blocks.filter(pa.array(blocks["range"].to_numpy() == i)), 35) for i in range(5)]
+    told = pa.concat_tables(merged).to_pylist()
+    for f in found:
+        gone = f.gone({r["range"]: (r["equal"], r["starts"], r["n_equal"], r["n_starts"]) for r in told if r["piece"] == f.piece.number})
+        sizes, lost, spans, kept = suffix_dedup.cut(f.piece.data, f.piece.bounds, gone)
+        numbers = [h[2] for h in pieces[f.piece.number]]
+        for i, got in zip(np.array(numbers)[f.piece.order].tolist(), zip(sizes.tolist(), lost.tolist(), spans.tolist(), kept.to_pylist())):
+            assert got == want[i]
 
 
 def test_keys_order_the_copies(spark):
@@ -117,21 +149,25 @@ def test_merge_equals_sorting(alphabet):
     chance = random.Random(len(alphabet))
     for _ in range(60):
         shards = [[bytes(chance.choices(alphabet, k=chance.randint(0, 30))) for _ in range(chance.randint(1, 5))] for _ in range(chance.randint(1, 4))]
-        transforms = [transform(s) for s in shards]
-        for shard, got in zip(shards, transforms):
+        made = [transform(s) for s in shards]
+        for shard, got in zip(shards, made):
             assert got.tolist() == [0 if j == 0 else shard[i][j - 1] + 1 for _, i, j in _suffixes([shard])]
         whole = _suffixes(shards)
-        merge = Merge(transforms, 31)  # deeper than any suffix: the full order
+        merge = Merge(made, 31)  # deeper than any suffix: the full order
         string, length = merge.suffixes()
         flat = [s for shard in shards for s in shard]
         assert [(i, len(flat[i]) - n) for i, n in zip(string[merge.rows].tolist(), length[merge.rows].tolist())] == [(i, j) for _, i, j in whole]
-        depth = chance.randint(1, 9)
-        merge = Merge(transforms, depth)
+        assert merge.texts(string, length) == flat
+        together, ends = transforms(flat, np.repeat(np.arange(len(shards)) * 3, [len(s) for s in shards]))
+        assert [x.tolist() for x in np.split(together, ends[:-1])] == [x.tolist() for x in made]
+        depth, step = chance.choice([(1, None), (5, None), (7, None), (8, 2), (9, 3), (10, 5), (12, 4)])
+        merge = Merge(made, depth, step)
+        step = step or {1: 1, 5: 5, 7: 1}[depth]
         string, length = merge.suffixes()
         cut = [flat[i][len(flat[i]) - n :] for i, n in zip(string[merge.rows].tolist(), length[merge.rows].tolist())]
         for k in range(1, len(cut)):
             common = next((x for x, (a, b) in enumerate(zip(cut[k - 1], cut[k])) if a != b), min(len(cut[k - 1]), len(cut[k])))
-            assert merge.common[k] == min(common, depth)
+            assert merge.common[k] == (depth if common >= depth else common // step * step)
             assert (merge.block[k] != merge.block[k - 1]) == (common < depth)
             assert cut[k - 1][:depth] <= cut[k][:depth]
 
@@ -139,7 +175,8 @@ def test_merge_equals_sorting(alphabet):
 def test_no_rows():
     merge = Merge([], 5)
     assert len(merge.rows) == 0 and [len(x) for x in merge.suffixes()] == [0, 0]
-    assert Merge([np.zeros(0, np.uint8)], 5).rows.tolist() == []
+    assert Merge([np.zeros(0, np.uint8)], 5).rows.tolist() == [] and Shards([]).texts(*merge.suffixes()) == []
+    assert [x.tolist() for x in transforms([])] == [[], []]
 
 
 def test_query(spark, sf):

@@ -21,13 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordloom.llm.bpe import release_memory
-from wordloom.llm.bwt import Merge, transform
+from wordloom.llm.bwt import Merge, Shards, row_heads, transforms
 from wordloom.llm.words import mix, slices, text_bytes
 from wordloom.session import durable, new_path
 
@@ -35,9 +36,9 @@ LENGTH = 100
 PIECE_BYTES = 8 << 20
 CHUNK = 1 << 18  # bytes that are hashed at a time
 MOST_STARTS = 64  # of one run
-HOT_RUNS = 1 << 12  # different runs of one anchor that are merged in one task
+HOT_RUNS = 1 << 11  # different runs of one anchor that are merged in one task
 ANCHORS_A_RANGE = 1 << 20
-SUFFIXES_A_RANGE = 1 << 21
+SUFFIXES_A_RANGE = 1 << 18
 _OUT = ("n_bytes", "n_removed", "n_spans", "kept")
 # What is known of an anchor: nothing, all its runs are equal, they differ, they are very many.
 NONE, EQUAL, MIXED, HOT = range(4)
@@ -78,20 +79,19 @@ def _extreme(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 @dataclass
 class Runs:
-    """Runs of starts with one anchor: first byte, number of starts, anchor, hash of the run's bytes (0 if starts in it may
-    repeat each other), row of the text and place in it."""
+    """Runs of starts with one anchor: first byte, number of starts, anchor, and a hash of the run's bytes, 0 if starts in
+    it may repeat each other."""
 
-    data: np.ndarray
     start: np.ndarray
     starts: np.ndarray
     anchor: np.ndarray
     name: np.ndarray
-    row: np.ndarray
-    place: np.ndarray
 
-    def text(self, i: int, length: int) -> bytes:
-        a = int(self.start[i])
-        return self.data[a : a + int(self.starts[i]) + length - 1].tobytes()
+    @classmethod
+    def joined(cls, parts: list[Runs]) -> Runs:
+        kinds = (np.int64, np.int64, np.uint64, np.uint64)
+        columns = zip(*((p.start, p.starts, p.anchor, p.name) for p in parts)) if parts else ([],) * 4
+        return cls(*(np.concatenate([np.zeros(0, kind), *column]) for kind, column in zip(kinds, columns)))
 
 
 class Finder:
@@ -103,27 +103,19 @@ class Finder:
         self.width = length - self.gram + 1  # grams of one string
         self.most = min(MOST_STARTS, length)
 
-    def chunks(self, array: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
-        """``(data, bounds, first row, place of the first byte in it)``; long texts are cut with an overlap."""
-        table = pa.table({"t": array})
-        row = 0
-        for batch in table.to_batches():
-            for part in slices(batch, "t", CHUNK):
-                bounds, data = text_bytes(part.column(0))
-                if len(data) <= 2 * CHUNK:
-                    yield data, bounds, row, 0
-                else:
-                    for a in range(0, len(data) - self.length + 1, CHUNK):
-                        piece = data[a : a + CHUNK + self.length - 1]
-                        yield piece, np.array([0, len(piece)]), row, a
-                row += part.num_rows
-
-    def runs(self, array: pa.Array) -> Iterator[Runs]:
-        for data, bounds, row, place in self.chunks(array):
-            if len(data) >= self.length:
-                yield self._runs(data, bounds, row, place)
-
-    def _runs(self, data: np.ndarray, bounds: np.ndarray, row: int, place: int) -> Runs:
+    def runs(self, data: np.ndarray, bounds: np.ndarray) -> Runs:
+        """The runs of texts that lie one after another in ``data``, hashed a chunk at a time."""
+        found = []
+        for a in range(0, max(0, len(data) - self.length + 1), CHUNK):
+            part = data[a : a + CHUNK + self.length - 1]
+            lo, hi = np.searchsorted(bounds, (a, a + len(part)), side="right")
+            cut = np.unique(np.clip(bounds[max(0, lo - 1) : hi + 1] - a, 0, len(part)))
+            runs = self._runs(part, cut)
+            runs.start += a
+            found.append(runs)
+        return Runs.joined(found)
+
+    def _runs(self, data: np.ndarray, bounds: np.ndarray) -> Runs:
         length, gram, width = self.length, self.gram, self.width
         n = len(data) - length + 1
         plain = run_hashes(_BYTES[data], gram)
@@ -131,41 +123,42 @@ class Finder:
         if length > 2 * gram:
             whole = _joined(whole, _BYTES[data[2 * gram :]], 1)
         hashes = plain ^ (plain >> np.uint64(32))
-        hashes = hashes * np.uint64(0x9E3779B97F4A7C15)
+        hashes *= np.uint64(0x9E3779B97F4A7C15)
         least = _extreme(hashes, width, np.minimum)[:n]
-        sizes = np.diff(bounds)
-        text = np.repeat(np.arange(len(sizes)), sizes)[:n]
-        inside = bounds[text + 1] - np.arange(n) >= length
-        new = np.ones(n, dtype=bool)
-        new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-        heads = np.flatnonzero(new & inside)
-        if not len(heads):
-            empty = np.zeros(0, np.int64)
-            return Runs(data, empty, empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty)
-        # A run ends with the next head, with its text, or after the most starts.
-        every = np.flatnonzero(new)
-        following = np.concatenate([every[1:], [n]])[np.searchsorted(every, heads)]
-        ends = np.minimum(following, bounds[text[heads] + 1] - length + 1)
-        starts = ends - heads
+        new = np.ones(n + 1, dtype=bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:n])
+        # A string lies in one text: no start in its last bytes, and a new run behind them.
+        crossing = np.zeros(n + 1, dtype=bool)
+        for end in bounds[1:].tolist():
+            crossing[max(0, end - length + 1) : end] = True
+            new[min(end, n)] = new[min(max(0, end - length + 1), n)] = True
+        edges = np.flatnonzero(new)
+        heads = edges[:-1]
+        inside = ~crossing[heads]
+        starts, heads = np.diff(edges)[inside], heads[inside]
         parts = -(-starts // self.most)
         if (parts > 1).any():
             number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            ends = np.repeat(heads + starts, parts)
             heads = np.repeat(heads, parts) + number * self.most
-            starts = np.minimum(np.repeat(ends, parts) - heads, self.most)
+            starts = np.minimum(ends - heads, self.most)
+        name = mix(whole[heads] * np.uint64(0xD6E8FEB86659FD93) + whole[heads + starts - 1] + starts.astype(np.uint64)) | np.uint64(1)
         # Two equal smallest grams in one run: its starts may repeat each other.
         reach = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
         chosen = np.flatnonzero(hashes[: n + width - 1] == _extreme(reach, width, np.maximum))
         twice = np.flatnonzero((hashes[chosen[1:]] == hashes[chosen[:-1]]) & (np.diff(chosen) <= width + self.most))
-        name = mix(whole[heads] * np.uint64(0xD6E8FEB86659FD93) + whole[heads + starts - 1] + starts.astype(np.uint64)) | np.uint64(1)
         if len(twice):
-            change = np.zeros(n + 1, dtype=np.int64)
-            np.add.at(change, np.maximum(chosen[twice] - width + 1, 0), 1)
-            np.add.at(change, np.minimum(chosen[twice + 1] + 1, n), -1)
-            marked = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
+            marked = np.concatenate([[0], np.cumsum(covered(n, np.maximum(chosen[twice] - width + 1, 0), np.minimum(chosen[twice + 1] + 1, n)))])
             name[marked[heads + starts] > marked[heads]] = 0
-        anchor = mix(least[heads])
-        first = bounds[text[heads]]
-        return Runs(data, heads, starts, anchor, name, row + text[heads], place + heads - first)
+        return Runs(heads, starts, mix(least[heads]), name)
+
+
+def covered(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of ``size`` places lie in one of the half-open ranges."""
+    change = np.zeros(size + 1, dtype=np.int32)
+    np.add.at(change, starts, 1)
+    np.add.at(change, ends, -1)
+    return np.cumsum(change[:-1]) > 0
 
 
 def range_ends(ordered: np.ndarray, ranges: int) -> list[int]:
@@ -174,21 +167,28 @@ def range_ends(ordered: np.ndarray, ranges: int) -> list[int]:
     return np.searchsorted(number, np.arange(ranges), side="right").tolist()
 
 
-def _heads(*columns: np.ndarray) -> np.ndarray:
-    """Which rows of sorted columns differ from the row before."""
-    new = np.ones(len(columns[0]), dtype=bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return new
-
+@dataclass
+class Anchors:
+    """The distinct anchors of a piece, sorted: the name of its runs or 0 for several, how many different ones, how many runs; and
+    the number of each run's anchor."""
 
-def anchor_summary(anchor: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each distinct anchor, sorted: its run's name or 0 for several, how many different runs, how many runs."""
-    order = np.lexsort((name, anchor))
-    anchor, name = anchor[order], name[order]
-    first = np.flatnonzero(_heads(anchor)) if len(anchor) else np.zeros(0, np.int64)
-    different = np.add.reduceat(_heads(anchor, name), first, dtype=np.int64) if len(first) else first
-    counts = np.diff(np.concatenate([first, [len(anchor)]]))
-    return anchor[first], np.where(different > 1, np.uint64(0), name[first]), different, counts
+    anchor: np.ndarray
+    name: np.ndarray
+    different: np.ndarray
+    counts: np.ndarray
+    number: np.ndarray
+
+    @classmethod
+    def of(cls, runs: Runs) -> Anchors:
+        order = np.lexsort((runs.name, runs.anchor))
+        anchor, name = runs.anchor[order], runs.name[order]
+        new = row_heads(anchor)
+        first = np.flatnonzero(new)
+        different = np.add.reduceat(row_heads(anchor, name), first, dtype=np.int64) if len(first) else first
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.cumsum(new) - 1
+        counts = np.diff(np.append(first, len(anchor)))
+        return cls(anchor[first], np.where(different > 1, np.uint64(0), name[first]), different, counts, number)
 
 
 def judge_anchors(table: pa.Table, hot: int) -> pa.Table:
@@ -199,7 +199,7 @@ def judge_anchors(table: pa.Table, hot: int) -> pa.Table:
     _, number, blocks = np.unique(np.concatenate(anchors), return_inverse=True, return_counts=True)
     name, count = np.concatenate(names), np.concatenate(counts)
     order = np.argsort(number, kind="stable")
-    first = np.flatnonzero(_heads(number[order]))
+    first = np.flatnonzero(row_heads(number[order]))
     equal = (np.minimum.reduceat(name[order], first) == np.maximum.reduceat(name[order], first)) & (name[order][first] != 0)
     runs = np.add.reduceat(count[order], first, dtype=np.int64)
     known = np.select([blocks == 1, equal, runs > hot], [NONE, EQUAL, HOT], MIXED).astype(np.uint8)
@@ -214,110 +214,140 @@ def judge_anchors(table: pa.Table, hot: int) -> pa.Table:
 
 
 class Piece:
-    """The texts of one piece in the order of their documents, and the answers that came back for it."""
+    """The texts of one piece, one after another in the order of their documents."""
 
     def __init__(self, table: pa.Table, length: int):
         self.number = table.column("piece")[0].as_py() if table.num_rows else 0
         key, no = table.column("held_key"), table.column("held_no").to_numpy()
-        self.null = key.is_null().to_numpy()
-        self.key = key.fill_null(0).to_numpy()
-        self.order = np.lexsort((no, self.key, self.null))
-        self.texts = table.column("held_text").take(pa.array(self.order))
-        self.finder = Finder(length)
+        null, key = key.is_null().to_numpy(), key.fill_null(0).to_numpy()
+        self.order = np.lexsort((no, key, null))
+        self.null, self.key = null[self.order], key[self.order]
+        self.bounds, self.data = text_bytes(table.column("held_text").take(pa.array(self.order)))
         self.length = length
+        self.runs = Finder(length).runs(self.data, self.bounds)
+        self.anchors = Anchors.of(self.runs)
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        found = [(r.anchor, r.name) for r in self.finder.runs(self.texts)]
-        empty = np.zeros(0, np.uint64)
-        return anchor_summary(np.concatenate([empty, *(a for a, _ in found)]), np.concatenate([empty, *(n for _, n in found)]))
-
-    def known(self, answers: dict[int, bytes], ranges: int) -> tuple[np.ndarray, np.ndarray]:
-        """The anchors that any string may repeat at, and what is known of each."""
-        anchor, name, different, counts = self.anchors()
-        code = np.zeros(len(anchor), dtype=np.uint8)
+    def codes(self, answers: dict[int, bytes], ranges: int) -> np.ndarray:
+        """What is known of each run's anchor, from the answers by range and from this piece."""
+        own = self.anchors
+        code = np.zeros(len(own.anchor), dtype=np.uint8)
         start = 0
-        for i, end in enumerate(range_ends(anchor, ranges)):
+        for i, end in enumerate(range_ends(own.anchor, ranges)):
             if i in answers:
                 code[start:end] = np.frombuffer(answers[i], np.uint8)
             start = end
         # Anchors that no other piece has: repeated here, or in one run.
-        here = np.where((different > 1) | (name == 0), MIXED, np.where(counts > 1, EQUAL, NONE))
-        code = np.where(code == NONE, here, code).astype(np.uint8)
-        some = code != NONE
-        return anchor[some], code[some]
-
-    def strings(self, anchors: np.ndarray, codes: np.ndarray) -> Iterator[tuple[Runs, int, int, int, int, bytes]]:
-        """``(runs, number of the run, what is known, first start in the run, starts, key of the string)`` of every run that goes on."""
-        for runs in self.finder.runs(self.texts):
-            slot = np.searchsorted(anchors, runs.anchor)
-            slot[slot == len(anchors)] = 0
-            hit = np.flatnonzero(anchors[slot] == runs.anchor) if len(anchors) else np.zeros(0, np.int64)
-            for i, code in zip(hit.tolist(), codes[slot[hit]].tolist()):
-                if code == EQUAL:
-                    yield runs, i, code, 0, int(runs.starts[i]), runs.anchor[i].tobytes()
-                elif code == MIXED:
-                    yield runs, i, code, 0, int(runs.starts[i]), runs.text(i, self.length)
-                else:
-                    text = runs.text(i, self.length)
-                    for k in range(int(runs.starts[i])):
-                        yield runs, i, code, k, 1, text[k : k + self.length]
-
-    def sent(self, anchors: np.ndarray, codes: np.ndarray, ranges: int) -> list[Block]:
-        """What this piece sends to each range: equal runs by their anchor, others as strings, each once."""
-        blocks = [Block() for _ in range(ranges)]
-        seen: dict[tuple[bool, bytes], tuple[int, int]] = {}
-        for runs, i, code, k, _, text in self.strings(anchors, codes):
-            name = (code == EQUAL, text)
-            if name in seen:
-                continue
-            hashed = int(runs.anchor[i]) if code != HOT else int(hash_of(text))
-            number = ((hashed >> 32) * ranges) >> 32
-            seen[name] = number, blocks[number].add(code == EQUAL, text, self.place(runs, i, k))
-        self.seen = seen
-        return blocks
-
-    def place(self, runs: Runs, i: int, k: int) -> tuple[int, int, int, int]:
-        """What orders strings: NULL keys last, key, row, start."""
-        row = int(self.order[runs.row[i]])
-        return int(self.null[row]), int(self.key[row]), int(runs.row[i]), int(runs.place[i]) + k
-
-
-def hash_of(text: bytes) -> np.uint64:
-    return mix(run_hashes(_BYTES[np.frombuffer(text, np.uint8)], len(text)))[0]
-
-
-class Block:
-    """Strings that a piece sends to one range."""
-
-    def __init__(self):
-        self.equal: list[bytes] = []
-        self.equal_places: list[tuple[int, int, int, int]] = []
-        self.strings: list[bytes] = []
-        self.places: list[tuple[int, int, int, int]] = []
-
-    def add(self, equal: bool, text: bytes, place: tuple[int, int, int, int]) -> int:
-        texts, places = (self.equal, self.equal_places) if equal else (self.strings, self.places)
-        texts.append(text)
-        places.append(place)
-        return len(texts) - 1
-
-    def columns(self) -> tuple[bytes, bytes, bytes, bytes]:
-        def packed(places):
-            return np.array(places, dtype=np.int64).reshape(-1, 4).tobytes()
-
-        return b"".join(self.equal), packed(self.equal_places), transform(self.strings).tobytes() if self.strings else b"", packed(self.places)
+        here = np.where((own.different > 1) | (own.name == 0), MIXED, np.where(own.counts > 1, EQUAL, NONE))
+        return np.where(code == NONE, here, code).astype(np.uint8)[own.number]
+
+    def places(self, starts: np.ndarray) -> np.ndarray:
+        """What orders strings that begin at these bytes: NULL keys last, key, row, place in the text."""
+        row = np.searchsorted(self.bounds, starts, side="right") - 1
+        return np.stack([self.null[row], self.key[row], row, starts - self.bounds[row]], axis=1).astype(np.int64)
+
+    def found(self, codes: np.ndarray, ranges: int) -> Found:
+        runs = self.runs
+        equal = np.flatnonzero(codes == EQUAL)
+        anchor, first = np.unique(runs.anchor[equal], return_index=True)  # runs are in the order of the documents
+        whole, seen = self.data.tobytes(), {}
+        start, count, string, hashed = [], [], [], []
+        mixed = np.flatnonzero(codes >= MIXED)
+        columns = (runs.start[mixed].tolist(), runs.starts[mixed].tolist(), runs.anchor[mixed].tolist(), codes[mixed].tolist())
+        for at, starts, name, code in zip(*columns):
+            # A very frequent anchor's strings are dealt one by one.
+            for a, n in ((at, starts),) if code == MIXED else ((at + k, 1) for k in range(starts)):
+                text = whole[a : a + n + self.length - 1]
+                number = seen.setdefault(text, len(seen))
+                if number == len(hashed):
+                    hashed.append(name if code == MIXED else xxhash.xxh64_intdigest(text))
+                start.append(a)
+                count.append(n)
+                string.append(number)
+        dealt = ((np.array(hashed, dtype=np.uint64) >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        return Found(self, equal, anchor, equal[first], list(seen), dealt.astype(np.int64), *(np.array(x, dtype=np.int64) for x in (start, count, string)))
+
+
+@dataclass
+class Found:
+    """The runs of a piece that go on: those with an anchor whose runs are all equal, and the others as strings.
+
+    ``start``, ``count`` and ``string`` are the places of the strings in the piece, in order; equal strings have one number.
+    """
+
+    piece: Piece
+    equal: np.ndarray
+    anchor: np.ndarray
+    first: np.ndarray  # the first run of each of these anchors
+    texts: list[bytes]
+    dealt: np.ndarray  # the range that each string is sent to
+    start: np.ndarray
+    count: np.ndarray
+    string: np.ndarray
+
+    def __post_init__(self):
+        self.sent = np.argsort(self.dealt, kind="stable")
+        _, at = np.unique(self.string, return_index=True)
+        self.head = at  # where each string stands first
+        sizes = self.count[at][self.sent]
+        self.begin = np.empty(len(self.sent), dtype=np.int64)
+        self.begin[self.sent] = np.cumsum(sizes) - sizes  # of its starts among all that are sent
+
+    def blocks(self, ranges: int) -> pa.Table:
+        """One row per range: anchors and their first places, the strings' transform and their first places."""
+        rows, texts = transforms([self.texts[i] for i in self.sent.tolist()], self.dealt[self.sent])
+        ends = np.searchsorted(self.dealt[self.sent], np.arange(ranges), side="right").tolist()
+        anchor_ends = range_ends(self.anchor, ranges)
+        equal_places = self.piece.places(self.piece.runs.start[self.first])
+        places = self.piece.places(self.start[self.head][self.sent])
+        out = {name: [] for name in ("range", "piece", "equal", "equal_places", "strings", "places")}
+        a = b = done = number = 0
+        for i, (c, d) in enumerate(zip(anchor_ends, ends)):
+            if c > a or d > b:
+                upto = int(texts[number]) if d > b else done
+                number += d > b
+                values = (self.anchor[a:c], equal_places[a:c], rows[done:upto], places[b:d])
+                for column, value in zip(out.values(), (i, self.piece.number, *(v.tobytes() for v in values))):
+                    column.append(value)
+                done = upto
+            a, b = c, d
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
+        return pa.table({name: pa.array(v, kind) for (name, v), kind in zip(out.items(), kinds)})
+
+    def gone(self, answers: dict[int, tuple[bytes, bytes]]) -> np.ndarray:
+        """Which bytes of the piece go, by the answers of the ranges: bits of the anchors, and of all starts of the strings."""
+        piece, length = self.piece, self.piece.length
+        ranges = sorted(answers)
+        later = np.zeros(len(self.anchor), dtype=bool)
+        flags = np.zeros(int(self.count[self.head].sum()), dtype=bool)
+        a = b = 0
+        for i in ranges:
+            equal, strings, n_equal, n_starts = answers[i]
+            later[a : a + n_equal], flags[b : b + n_starts] = _bits(equal, n_equal), _bits(strings, n_starts)
+            a, b = a + n_equal, b + n_starts
+        # Every run but the first of its kind goes as a whole; the first as far as earlier pieces have it.
+        again = np.ones(len(piece.runs.start), dtype=bool)
+        again[self.first] = later
+        runs = self.equal[again[self.equal]]
+        repeated = np.ones(len(self.start), dtype=bool)
+        repeated[self.head] = False
+        size = self.count[self.head]
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        single = (np.repeat(self.start[self.head], size) + within)[flags[np.repeat(self.begin, size) + within]]
+        starts = np.concatenate([piece.runs.start[runs], self.start[repeated], single])
+        counts = np.concatenate([piece.runs.starts[runs], self.count[repeated], np.ones(len(single), np.int64)])
+        return covered(len(piece.data), starts, starts + counts + length - 1)
 
 
 def _least(group: np.ndarray, places: np.ndarray, piece: np.ndarray) -> np.ndarray:
     """Which rows come first in their group; ``places`` are (null, key, row, start)."""
     order = np.lexsort((places[:, 3], places[:, 2], piece, places[:, 1], places[:, 0], group))
     first = np.zeros(len(group), dtype=bool)
-    first[order[_heads(group[order])]] = True
+    first[order[row_heads(group[order])]] = True
     return first
 
 
 def merge_range(table: pa.Table, length: int) -> pa.Table:
-    """For the blocks of one range: bits of the equal runs and of the starts of all strings that repeat an earlier one."""
+    """For the blocks of one range: bits of the anchors and of the starts of all strings that repeat an earlier one."""
 
     def arrays(name: str, kind: type, width: int = 1) -> list[np.ndarray]:
         return [np.frombuffer(b, kind).reshape(-1, width) if width > 1 else np.frombuffer(b, kind) for b in table.column(name).to_pylist()]
@@ -329,46 +359,62 @@ def merge_range(table: pa.Table, length: int) -> pa.Table:
         return np.repeat(pieces, [len(b) for b in blocks])
 
     equal_later = ~_least(np.concatenate(equal), np.concatenate(equal_places), owner(equal))
-    merge = Merge(arrays("strings", np.uint8), length)
-    string, size = merge.suffixes()
-    # Suffixes of at least ``length`` bytes, in the merged order: a common prefix that long is one interval.
-    rows = merge.rows[size[merge.rows] >= length]
-    block = merge.block[size[merge.rows] >= length]
-    whole = np.zeros(len(merge.ends), dtype=np.int64)
-    np.maximum.at(whole, string, size)
-    where = np.concatenate([np.zeros((0, 4), np.int64), *places])[string[rows]]
-    where[:, 3] += whole[string[rows]] - size[rows]
-    later = ~_least(block, where, owner(places)[string[rows]])
-    counts = np.maximum(whole - length + 1, 0)
+    where, from_ = np.concatenate([np.zeros((0, 4), np.int64), *places]), owner(places)
+    # A string that several pieces send is merged once, with the place that comes first; for the others all starts repeat.
+    shards = Shards(arrays("strings", np.uint8))
+    string, size = shards.suffixes()
+    texts = shards.texts(string, size)
+    names: dict[bytes, int] = {}
+    kind = np.array([names.setdefault(t, len(names)) for t in texts], dtype=np.int64)
+    kept = _least(kind, where, from_)
+    counts = np.array([len(t) - length + 1 for t in texts], dtype=np.int64)
     begins = np.cumsum(counts) - counts
-    flags = np.zeros(int(counts.sum()), dtype=bool)
-    flags[begins[string[rows]] + whole[string[rows]] - size[rows]] = later
-    out = {"range": [], "piece": [], "equal": [], "starts": []}
-    a = b = 0
-    for number, piece, own, held in zip(table.column("range").to_pylist(), pieces.tolist(), equal, places):
-        upto = b + len(held)
-        begin, end = (int(begins[x]) if x < len(begins) else len(flags) for x in (b, upto))
-        for name, value in zip(out, (number, piece, np.packbits(equal_later[a : a + len(own)]).tobytes(), np.packbits(flags[begin:end]).tobytes())):
-            out[name].append(value)
-        a, b = a + len(own), upto
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    flags = np.ones(int(counts.sum()), dtype=bool)
+    rows_of = np.cumsum([0, *map(len, arrays("strings", np.uint8))])
+    stays = kept[string]
+    merge = Merge([shards.symbols[a:b][stays[a:b]] for a, b in zip(rows_of[:-1].tolist(), rows_of[1:].tolist())], length)
+    own, left = merge.suffixes()
+    own = np.flatnonzero(kept)[own]
+    # Suffixes of at least ``length`` bytes that share as many stand in one interval.
+    rows = merge.rows[left[merge.rows] >= length]
+    block = merge.block[left[merge.rows] >= length]
+    own, at = own[rows], counts[own[rows]] + length - 1 - left[rows]
+    several = np.zeros(len(rows), dtype=bool)
+    edge = row_heads(block)
+    several[:-1] = ~edge[1:]
+    several |= ~edge
+    flags[begins[own] + at] = False
+    own, at, block = own[several], at[several], block[several]
+    places_now = where[own]
+    places_now[:, 3] += at
+    flags[begins[own] + at] = ~_least(block, places_now, from_[own])
+    out = {"range": [], "piece": [], "equal": [], "starts": [], "n_equal": [], "n_starts": []}
+    a = b = c = 0
+    for number, piece, anchors, held in zip(table.column("range").to_pylist(), pieces.tolist(), equal, places):
+        n = int(counts[b : b + len(held)].sum())
+        bits = (np.packbits(x).tobytes() for x in (equal_later[a : a + len(anchors)], flags[c : c + n]))
+        for column, value in zip(out.values(), (number, piece, *bits, len(anchors), n)):
+            column.append(value)
+        a, b, c = a + len(anchors), b + len(held), c + n
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
     return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds)})
 
 
-def _bits(data: bytes) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(data, np.uint8)).astype(bool)
+def _bits(data: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=count).astype(bool)
 
 
-def spans(starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes that the strings at ``(first start, number of starts)`` cover."""
-    out: list[tuple[int, int]] = []
-    for first, count in sorted(starts):
-        end = first + count + length - 1
-        if out and first <= out[-1][1]:
-            out[-1] = out[-1][0], max(end, out[-1][1])
-        else:
-            out.append((first, end))
-    return out
+def cut(data: np.ndarray, bounds: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """For each text its bytes, those that go, their maximal runs, and what is left."""
+    before = np.concatenate([[0], np.cumsum(gone)])
+    edge = gone.copy()
+    edge[1:] &= ~gone[:-1]
+    inner = bounds[:-1][np.diff(bounds) > 0]
+    edge[inner] = gone[inner]  # a run ends with its text
+    edges = np.concatenate([[0], np.cumsum(edge)])
+    offsets = (bounds - before[bounds]).astype(np.int32)
+    kept = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[~gone].tobytes())])
+    return np.diff(bounds), np.diff(before[bounds]), np.diff(edges[bounds]), kept
 
 
 def _pieces(df: DataFrame, key: str, text: str, row: Column) -> DataFrame:
@@ -414,23 +460,20 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
 
     def first(table: pa.Table) -> pa.Table:
         piece = Piece(table, length)
-        anchor, name, different, _ = piece.anchors()
+        own = piece.anchors
         out = {"range": [], "piece": [], "anchors": [], "names": [], "counts": []}
         start = 0
-        for i, end in enumerate(range_ends(anchor, ranges)):
+        for i, end in enumerate(range_ends(own.anchor, ranges)):
             if end > start:
-                values = (i, piece.number, *(x[start:end].tobytes() for x in (anchor, name, different.astype(np.uint32))))
-                for column, value in zip(out.values(), values):
+                values = (x[start:end].tobytes() for x in (own.anchor, own.name, own.different.astype(np.uint32)))
+                for column, value in zip(out.values(), (i, piece.number, *values)):
                     column.append(value)
             start = end
-        del piece, anchor, name, different
+        del piece, own
         release_memory()
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
 
-    def replies(table: pa.Table, *columns: str) -> dict[int, tuple]:
-        return {r["range"]: tuple(r[c] for c in columns) for r in table.to_pylist()}
-
     anchors = slim.groupBy("piece").applyInArrow(first, "range long, piece long, anchors binary, names binary, counts binary")
     judged = durable(
         anchors.groupBy("range").applyInArrow(lambda t: judge_anchors(t, hot_runs), "range long, piece long, answer binary, mixed long"),
@@ -439,18 +482,16 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     mixed = judged.agg(F.sum("mixed")).first()[0] or 0
     merges = max(2 * tasks, mixed * (length + length // 4) // SUFFIXES_A_RANGE)
 
-    def second(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def again(table: pa.Table, answers: pa.Table) -> Found:
         piece = Piece(table, length)
-        known = piece.known({i: a for i, (a,) in replies(answers, "answer").items()}, ranges)
-        out = {"range": [], "piece": [], "equal": [], "equal_places": [], "strings": [], "places": []}
-        for i, block in enumerate(piece.sent(*known, merges)):
-            if block.equal or block.strings:
-                for column, value in zip(out.values(), (i, piece.number, *block.columns())):
-                    column.append(value)
-        del piece, known
+        told = answers.filter(answers.column("answer").is_valid())
+        codes = piece.codes(dict(zip(told.column("range").to_pylist(), told.column("answer").to_pylist())), ranges)
+        return piece.found(codes, merges)
+
+    def second(table: pa.Table, answers: pa.Table) -> pa.Table:
+        sent = again(table, answers).blocks(merges)
         release_memory()
-        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
-        return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
+        return sent
 
     blocks = slim.groupBy("piece").cogroup(judged.groupBy("piece")).applyInArrow(
         second, "range long, piece long, equal binary, equal_places binary, strings binary, places binary"
@@ -461,56 +502,24 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
         release_memory()
         return out
 
-    found = durable(blocks.groupBy("range").applyInArrow(merged, "range long, piece long, equal binary, starts binary"), "repeats")
-    both = judged.select("range", "piece", "answer", F.lit(None).cast("binary").alias("equal"), F.lit(None).cast("binary").alias("starts"))
-    both = both.unionByName(found.withColumn("answer", F.lit(None).cast("binary")))
+    repeats = blocks.groupBy("range").applyInArrow(
+        merged, "range long, piece long, equal binary, starts binary, n_equal long, n_starts long"
+    )
+    both = judged.drop("mixed").unionByName(durable(repeats, "repeats"), allowMissingColumns=True)
 
     def third(table: pa.Table, answers: pa.Table) -> pa.Table:
-        piece = Piece(table, length)
-        if not table.num_rows:
-            raise ValueError("answers for a piece that isn't there")
-        told = answers.filter(answers.column("answer").is_valid())
-        known = piece.known({i: a for i, (a,) in replies(told, "answer").items()}, ranges)
-        blocks = piece.sent(*known, merges)
-        bits = {i: (_bits(e), _bits(s)) for i, (e, s) in replies(answers.filter(answers.column("answer").is_null()), "equal", "starts").items()}
-        begins = [np.concatenate([[0], np.cumsum([len(s) - length + 1 for s in b.strings])]) for b in blocks]
-        gone: list[list[tuple[int, int]]] = [[] for _ in range(table.num_rows)]
-        met: set[tuple[bool, bytes]] = set()
-        for runs, i, code, k, count, text in piece.strings(*known):
-            name, place = (code == EQUAL, text), int(runs.place[i]) + k
-            number, at = piece.seen[name]
-            if name in met:
-                gone[int(runs.row[i])].append((place, count))
-            elif code == EQUAL:
-                met.add(name)
-                if bits[number][0][at]:
-                    gone[int(runs.row[i])].append((place, count))
-            else:
-                met.add(name)
-                begin = int(begins[number][at])
-                own = np.flatnonzero(bits[number][1][begin : begin + count])
-                gone[int(runs.row[i])] += [(place + x, 1) for x in own.tolist()]
-        sizes, lost, counts, kept = [], [], [], []
-        for i, data in enumerate(piece.texts.to_pylist()):
-            data = data.encode()
-            cut, out, at = spans(gone[i], length), [], 0
-            for a, b in cut:
-                out.append(data[at:a])
-                at = b
-            kept.append(b"".join([*out, data[at:]]))
-            sizes.append(len(data))
-            lost.append(sum(b - a for a, b in cut))
-            counts.append(len(cut))
+        found = again(table, answers)
+        told = answers.filter(answers.column("answer").is_null())
+        columns = (told.column(c).to_pylist() for c in ("equal", "starts", "n_equal", "n_starts"))
+        gone = found.gone(dict(zip(told.column("range").to_pylist(), zip(*columns))))
+        piece = found.piece
         done = pa.table(
             {
                 "held_row": table.column("held_row").take(pa.array(piece.order)),
-                "n_bytes": pa.array(sizes, pa.int64()),
-                "n_removed": pa.array(lost, pa.int64()),
-                "n_spans": pa.array(counts, pa.int64()),
-                "kept": pa.array(kept, pa.binary()),
+                **{name: pa.array(values) for name, values in zip(_OUT, cut(piece.data, piece.bounds, gone))},
             }
         )
-        del piece, known, blocks, bits, begins, gone, met, kept
+        del found, piece, gone
         release_memory()
         return done
 
