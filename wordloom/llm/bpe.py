@@ -293,6 +293,7 @@ def held(kind: Callable, *arguments) -> object:
     if key not in _MODELS:
         forget_models()
         _MODELS[key] = kind(*arguments)
+        release_memory()  # what reading the file took
     return _MODELS[key]
 
 

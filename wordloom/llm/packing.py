@@ -32,6 +32,7 @@ MERGED_PARTITIONS = 256
 END_ID = 1
 CACHE_BYTES = 128 << 20  # of words and their ids
 _ENTRY_BYTES = 160  # of one word in the cache, besides its letters and ids
+PART_BYTES = 1 << 19  # of text that is encoded at a time
 CACHE_PIECES = 40_000  # pieces of new words; words that come again need none
 # The published pattern of the lower-case tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -193,7 +194,7 @@ def pack(
         key_type = None
         for batch in batches:
             key_type = batch.column(0).type
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", PART_BYTES):
                 encoded = model.encode([t or "" for t in part.column(1).to_pylist()])
                 rows, pieces, ids = [], [], []
                 for i, held_ids in enumerate(encoded):
