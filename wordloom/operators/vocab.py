@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import CONTEXT_TOKENS, standard_tokens
+from wordloom.operators.heavy import frequent_counts
 from wordloom.operators.lookups import BROADCAST_BYTES, lookup_positions
 from wordloom.session import durable
 
@@ -25,13 +26,15 @@ def token_counts(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def vocabulary(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS) -> DataFrame:
+def vocabulary(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS, summaries: bool = False) -> DataFrame:
     """``(idx, token, freq)``: padding, unknown, then the most frequent tokens.
 
-    Equal counts are ordered by token, descending. ``max_tokens`` includes the two reserved rows.
+    Equal counts are ordered by token, descending. ``max_tokens`` includes the two reserved rows. With ``summaries`` the texts
+    are read twice and only candidates are shuffled (``heavy.py``); where these can't decide, all words are counted as without.
     """
     room = max(max_tokens - FIRST_IDX, 0)
-    counts = durable(token_counts(df, text), "token-counts")
+    found = frequent_counts(df, room, text) if summaries else None
+    counts = durable(token_counts(df, text) if found is None else found, "token-counts")
     # The frequency of the last word that gets in: then only the words of the cap and its ties are ordered.
     spectrum = counts.groupBy("freq").count()
     order = Window.orderBy(F.desc("freq")).rowsBetween(Window.unboundedPreceding, 0)

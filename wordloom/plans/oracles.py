@@ -435,6 +435,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT doc_id, t, m, unnest(range(1, len(t) - m + 2)) AS i
               FROM (SELECT doc_id, ['<s>', '<s>'] || {LOW_WORDPUNCT} || ['</s>', '</s>'] AS t FROM documents), range(1, 4) r(m))""",
     "vocabulary": vocabulary(15_000),
+    "vocabulary_summaries": vocabulary(15_000),
     "vocabulary_head": f"SELECT * FROM ({vocabulary(15_000)}) ORDER BY idx LIMIT 100",
     "embedding_matrix": f"""
         SELECT idx, token, vec_id IS NOT NULL AS hit,

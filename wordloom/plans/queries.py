@@ -290,6 +290,12 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return vocab.vocabulary(inputs.texts(spark, sf))
 
 
+@query
+def vocabulary_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """The same vocabulary from summaries of the tasks and a recount of their candidates."""
+    return vocab.vocabulary(inputs.texts(spark, sf), summaries=True)
+
+
 @query
 def vocabulary_head(spark: SparkSession, sf: str) -> DataFrame:
     return vocab.vocabulary_head(vocab.vocabulary(inputs.texts(spark, sf)))
