@@ -16,6 +16,7 @@ CHECKED = [
     "vocabulary", "context_vectors", "ngram_counts", "ngram_mle", "next_word_topk", "next_word_draw", "ngram_accuracy",
     "ngram_log_loss", "generate_topk", "generate_ngram", "route_requests", "write_corpus", "split_train_test",
     "accuracy_summary", "accuracy_histogram", "generate_scored", "everygrams", "ngram_accuracy_drawn", "score_plugin", "tokenize_treebank", "learned_abbreviations",
+    "model_cost_summary", "accuracy_interval", "vocabulary_summaries",
 ]
 
 

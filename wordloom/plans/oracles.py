@@ -508,8 +508,34 @@ ORACLES: dict[str, str] = {
                round(low + (high - low) * (b.bin + 1) / 10, 6) AS high, coalesce(n, 0) AS n
         FROM range(10) b(bin) CROSS JOIN bounds LEFT JOIN told_bins USING (bin)""",
     "model_cost_summary": """
-        SELECT event_type AS model, count(*) AS runs, round(avg(value), 6) AS mean_seconds
-        FROM events GROUP BY event_type""",
+        WITH placed AS (SELECT event_type AS model, value, ceil(ln(value) / ln(1.01 / 0.99)) AS b FROM events),
+        ordered AS (
+            SELECT model, b, sum(count(*)) OVER (PARTITION BY model ORDER BY b) AS upto, sum(count(*)) OVER (PARTITION BY model) AS n
+            FROM placed GROUP BY model, b),
+        told AS (
+            SELECT model, min(b) FILTER (WHERE upto >= ceil(n * 0.5)) AS b50, min(b) FILTER (WHERE upto >= ceil(n * 0.95)) AS b95
+            FROM ordered GROUP BY model),
+        means AS (SELECT model, count(*) AS runs, round(avg(value), 6) AS mean_seconds FROM placed GROUP BY model)
+        SELECT model, runs, mean_seconds, round(2 * pow(1.01 / 0.99, b50) / (1.01 / 0.99 + 1), 6) AS p50_seconds,
+               round(2 * pow(1.01 / 0.99, b95) / (1.01 / 0.99 + 1), 6) AS p95_seconds
+        FROM means JOIN told USING (model)""",
+    "accuracy_interval": f"""
+        WITH {TRAIN_GRAMS}, asked AS ({HELD_OUT}), {BACKED_OFF}, {BEST},
+        told AS (
+            SELECT doc_id, (word = next_word)::INTEGER AS correct
+            FROM placed JOIN best ON best.n = order_used AND best.context = ctx),
+        cdf AS (
+            SELECT sum(p) OVER (ORDER BY k) AS upto
+            FROM (SELECT k, exp(-1::DOUBLE) / factorial(k::INTEGER)::DOUBLE AS p FROM range(17) t(k))),
+        weighed AS (
+            SELECT r, correct, {h("'resample' || r::VARCHAR", 'doc_id')} / pow(2::DOUBLE, 60) AS u FROM told, range(200) t(r)),
+        sums AS (
+            SELECT r, sum(w) AS n, sum(w * correct) AS k
+            FROM (SELECT r, correct, (SELECT count(*) FROM cdf WHERE upto <= u) AS w FROM weighed) GROUP BY r),
+        resampled AS (SELECT list_sort(list(k / n) FILTER (WHERE n > 0)) AS a FROM sums)
+        SELECT (SELECT count(*) FROM told) AS rows, (SELECT round(avg(correct), 6) FROM told) AS accuracy,
+               round(a[greatest(ceil(len(a) * 0.025), 1)::INTEGER], 6) AS low, round(a[greatest(ceil(len(a) * 0.975), 1)::INTEGER], 6) AS high
+        FROM resampled""",
     "generate_topk": topk_rounds(10),
     "generate_ngram": ngram_rounds(10),
     "generate_scored": scored_rounds(10),

@@ -446,10 +446,24 @@ def accuracy_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def model_cost_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs, mean, median and 95 % of each model; the quantiles from sketches of days, added up."""
     runs = inputs.table(spark, sf, "events").select(
-        F.col("event_type").alias("model"), F.col("value").alias("seconds")
+        F.col("event_type").alias("model"), F.col("value").alias("seconds"), F.to_date("ts").alias("day")
     )
-    return evaluate.cost_summary(runs).withColumn("mean_seconds", F.round("mean_seconds", 6))
+    days = evaluate.quantile_sketches(runs, ["model", "day"], "seconds")
+    shares = {"p50_seconds": 0.5, "p95_seconds": 0.95}
+    quantiles = evaluate.sketch_quantiles(evaluate.merge_sketches(days, ["model"]), ["model"], shares)
+    quantiles = quantiles.select("model", *[F.round(name, 6).alias(name) for name in shares])
+    summary = evaluate.cost_summary(runs).withColumn("mean_seconds", F.round("mean_seconds", 6))
+    return summary.join(quantiles, "model", "left")
+
+
+@query
+def accuracy_interval(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy of the n-gram model on all held-out texts, with its interval over resamples."""
+    train, test = inputs.train_test(spark, sf)
+    told = evaluate.bootstrap_interval(evaluate.ngram_predictions(test, inputs.model(train)))
+    return told.select("rows", *[F.round(c, 6).alias(c) for c in ("accuracy", "low", "high")])
 
 
 # --- Generation ---
