@@ -23,7 +23,7 @@ def brute_base(text):
 def test_rules():
     rules = licenses.signature_rules()
     assert len(rules) > 300 and [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
-    assert all(r.keywords for r in rules)
+    assert all(r.keywords for r in rules) and len({r[1] for r in licenses.STATEMENTS}) == len(licenses.STATEMENTS) > 190
 
 
 @pytest.mark.parametrize(
@@ -40,6 +40,19 @@ def test_rules():
         ("All rights reserved.", "all-rights-reserved"),
         ("the license plate of a car under the bridge", ""),
         ("ruby and php", ""),
+        ("You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache-2"),
+        ("// Use of this source code is governed by a BSD-style license", "bsd"),
+        ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY", "gpl"),
+        ("either version 3 of the License, or (at your option) any later version", "gpl"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "gpl-2,gpl-classpath"),
+        ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa"),
+        ("Ce logiciel est régi par la licence CeCILL", "cecill"),
+        ("The Software shall be used for Good, not Evil.", "json"),
+        ("No part of this publication may be reproduced in any form", "proprietary"),
+        ("Unauthorised copying of this file, via any medium, is strictly prohibited", "proprietary"),
+        ("found in the LICENSE file in the root directory of this source tree", "see-license"),
+        ("we hope that the government will build a new package", ""),
         ("", ""),
     ],
 )
