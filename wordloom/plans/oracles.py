@@ -431,9 +431,15 @@ ORACLES: dict[str, str] = {
         WITH {ENCODED_15K}
         SELECT idx::INTEGER AS idx, doc_id AS id, pos::INTEGER AS pos, token FROM ids JOIN vocab USING (idx)""",
     "everygrams": f"""
-        SELECT doc_id AS id, m::INTEGER AS n, (i - 1)::INTEGER AS pos, array_to_string(t[i : i + m - 1], ' ') AS gram
-        FROM (SELECT doc_id, t, m, unnest(range(1, len(t) - m + 2)) AS i
-              FROM (SELECT doc_id, ['<s>', '<s>'] || {LOW_WORDPUNCT} || ['</s>', '</s>'] AS t FROM documents), range(1, 4) r(m))""",
+        WITH cut AS (
+            SELECT doc_id AS id, m::INTEGER AS n, (i - 1)::INTEGER AS pos, array_to_string(t[i : i + m - 1], ' ') AS gram
+            FROM (SELECT doc_id, t, m, unnest(range(1, len(t) - m + 2)) AS i
+                  FROM (SELECT doc_id, ['<s>', '<s>'] || {LOW_WORDPUNCT} || ['</s>', '</s>'] AS t FROM documents), range(1, 4) r(m))),
+        told AS (
+            SELECT id, n, count(*) AS grams, count(DISTINCT gram) AS distinct_grams, min(gram) AS first_gram, max(gram) AS last_gram
+            FROM cut GROUP BY ALL)
+        SELECT cut.*, grams, distinct_grams, first_gram, last_gram
+        FROM cut JOIN told ON cut.n = told.n AND cut.id IS NOT DISTINCT FROM told.id""",
     "vocabulary": vocabulary(15_000),
     "vocabulary_summaries": vocabulary(15_000),
     "vocabulary_head": f"SELECT * FROM ({vocabulary(15_000)}) ORDER BY idx LIMIT 100",
