@@ -26,7 +26,9 @@ def abbreviations(df: DataFrame, text: str = "text") -> DataFrame:
         F.count_if(ends).alias("with_period"), F.count_if(~ends).alias("without_period")
     )
     whole = counts.agg(F.sum("with_period").alias("_periods"), F.sum(F.col("with_period") + F.col("without_period")).alias("_words"))
-    told = counts.filter((F.col("with_period") > 0) & F.col("type").rlike(r"\p{L}")).join(F.broadcast(whole))  # one row
+    # The filter reads the count too, so it stays above the shuffle that both uses of the counts share.
+    word_type = F.when(F.col("type").rlike(r"\p{L}"), F.col("with_period")).otherwise(F.lit(0)) > 0
+    told = counts.filter(word_type).join(F.broadcast(whole))  # one row
     both, share = F.col("with_period") + F.col("without_period"), F.col("_periods") / F.col("_words")
     usual = F.col("with_period") * F.log(share) + F.col("without_period") * F.log(1 - share)
     as_one = F.col("with_period") * F.log(F.lit(PERIOD_SHARE)) + (both - F.col("with_period")) * F.log(F.lit(1 - PERIOD_SHARE))
@@ -49,7 +51,10 @@ def sentences(df: DataFrame, known: DataFrame, text: str = "text", key: str = "i
     and come back; texts move only if these are many.
     """
     cut = df.withColumn("_pieces", _pieces(F.col(text)))
-    last = F.transform("_pieces", lambda p: F.regexp_extract(F.lower(p), r"([\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*)\.$", 1))
+    # The word holds no space, so only what follows a piece's last one is searched.
+    last = F.transform(
+        "_pieces", lambda p: F.regexp_extract(F.lower(F.substring_index(p, " ", -1)), r"([\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*)\.$", 1)
+    )
     ends = (
         df.withColumn("_pieces", _pieces(F.col(text)))
         .select(key, F.posexplode(last).alias("_i", "type"))
@@ -60,14 +65,13 @@ def sentences(df: DataFrame, known: DataFrame, text: str = "text", key: str = "i
     )
     opened = F.coalesce(F.col("_open"), F.array().cast("array<int>"))
     # A piece behind an abbreviation goes on with the sentence before it.
-    head = F.transform("_pieces", lambda p, i: (i == 0) | ~F.array_contains(opened, i - 1))
-    numbered = F.filter(F.sequence(F.lit(0), F.size("_pieces") - 1), lambda i: F.get(F.col("_head"), i))
+    starts = F.array_except(F.sequence(F.lit(0), F.size("_pieces") - 1), F.transform(opened, lambda i: i + 1))
     upto = F.transform(
         "_starts",
         lambda s, i: F.array_join(F.slice("_pieces", s + 1, F.coalesce(F.get(F.col("_starts"), i + 1), F.size("_pieces")) - s), " "),
     )
-    joined = cut.join(ends, key, "left").withColumn("_head", head).withColumn("_starts", numbered)
-    return joined.withColumn(out, upto).drop("_pieces", "_open", "_head", "_starts")
+    joined = cut.join(ends, key, "left").withColumn("_starts", starts)
+    return joined.withColumn(out, upto).drop("_pieces", "_open", "_starts")
 
 
 def sentence_tokens(df: DataFrame, known: DataFrame, text: str = "text", key: str = "id", out: str = "tokens") -> DataFrame:
